@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import id_and_text, small_batches, stage
-from .tokens import Encoder
+from .tokens import encoder
 
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
@@ -34,14 +34,15 @@ class Pack:
     """size: of a sequence. longest: a remainder over it is cut there, as two pieces over
     half a sequence never fit together. end_id: ends each document. gap: the program stops when it
     is within this share of its bound. rounds: of pricing at most; the patterns found
-    till then are feasible in any case."""
+    till then are feasible in any case. steady: how far the duals are smoothed."""
 
     size: int = 1024
     longest: int = 512
     end_id: int = 0
     tokenizer: str = "byte_bpe_50k.json"
-    gap: float = 0.0005
-    rounds: int = 4000
+    gap: float = 0.002
+    rounds: int = 3000
+    steady: float = 0.8
 
 
 def best_pattern(lengths: np.ndarray, worth: np.ndarray, size: int) -> tuple[float, np.ndarray]:
@@ -73,36 +74,51 @@ def cutting_stock(lengths: np.ndarray, demand: np.ndarray, at: Pack) -> list[tup
     if not len(lengths):
         return []
     m = len(lengths)
-    basis = np.diag((at.size // lengths).astype(float))  # a column is a pattern
-    inverse = np.diag(1.0 / np.diag(basis))
+    basis = np.diag((at.size // lengths).astype(float))  # a column is a pattern, or -1 for a length given more than asked
+    cost, inverse = np.ones(m), np.diag(1.0 / np.diag(basis))
     x = demand / np.diag(basis)
-    for k in range(at.rounds):
-        duals = inverse.sum(0)
-        value, pattern = best_pattern(lengths, duals, at.size)
-        if value <= 1 + 1e-9 or x.sum() * (1 - 1 / value) <= max(0.5, at.gap * x.sum()):
-            break
-        step = inverse @ pattern
+    ideal = centre = lengths / at.size  # a piece's worth where nothing is wasted
+    bound = demand @ ideal
+    for _ in range(at.rounds):
+        duals = np.einsum("i,ij->j", cost, inverse)  # not by BLAS, whose threads only wait for each other here
+        least = int(duals.argmin())
+        if duals[least] < -1e-9:
+            column, price = -np.eye(m)[least], 0.0
+        else:
+            # Duals of a half-solved program swing; a mix with those of the best bound so far steadies them.
+            for share in (at.steady, at.steady / 2, 0.0):
+                worth = share * centre + (1 - share) * duals
+                value, column = best_pattern(lengths, worth, at.size)
+                if worth @ demand / value > bound:
+                    bound, centre = worth @ demand / value, worth / value
+                if duals @ column > 1 + 1e-9:
+                    break
+            price = 1.0
+            if duals @ column <= 1 + 1e-9 or cost @ x - bound <= max(0.5, at.gap * bound):
+                break
+        step = np.einsum("ij,j->i", inverse, column)
         ratio = np.where(step > 1e-9, x / np.where(step > 1e-9, step, 1), np.inf)
         r = int(ratio.argmin())
-        basis[:, r] = pattern
-        if k % 250 == 249:
-            inverse = np.linalg.inv(basis)
-        else:
-            row = inverse[r] / step[r]
-            inverse -= np.outer(step, row)
-            inverse[r] = row
-        x = np.maximum(inverse @ demand, 0)
-    counts = np.floor(x + 1e-7).astype(np.int64)
+        basis[:, r], cost[r], far = column, price, ratio[r]
+        row = inverse[r] / step[r]
+        inverse -= np.outer(step, row)
+        inverse[r] = row
+        x = np.maximum(x - far * step, 0)
+        x[r] = far
     used: Counter = Counter()
     left = demand.astype(np.int64)
     for j in np.argsort(-x, kind="stable"):
-        pattern = basis[:, j].astype(np.int64)
-        inside = pattern > 0
-        n = min(int(counts[j]), int((left[inside] // pattern[inside]).min())) if inside.any() else 0
-        if n:
-            used[tuple(pattern)] += n
-            left -= n * pattern
-    return [(n, {int(lengths[i]): p[i] for i in range(m) if p[i]}) for p, n in used.items()] + best_fit({int(n): int(c) for n, c in zip(lengths, left, strict=True) if c}, at.size)
+        n = int(x[j] + 1e-7) if cost[j] else 0
+        while n > 0:
+            pattern = np.minimum(basis[:, j].astype(np.int64), left)  # without what is covered already
+            inside = pattern > 0
+            if not inside.any():
+                break
+            times = min(n, int((left[inside] // pattern[inside]).min()))
+            used[tuple(pattern)] += times
+            left -= times * pattern
+            n -= times
+    return [(n, {int(lengths[i]): int(p[i]) for i in range(m) if p[i]}) for p, n in used.items()] + best_fit({int(n): int(c) for n, c in zip(lengths, left, strict=True) if c}, at.size)
 
 
 def best_fit(counts: dict[int, int], size: int) -> list[tuple[int, dict[int, int]]]:
@@ -137,7 +153,7 @@ def pieces(docs: DataFrame, at: Pack, with_ids: bool = False) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode, end, part, seen = Encoder(at.tokenizer), struct.pack("<I", at.end_id), TaskContext.get().partitionId(), Counter()
+        encode, end, part, seen = encoder(at.tokenizer), struct.pack("<I", at.end_id), TaskContext.get().partitionId(), Counter()
         for batch in batches:
             rows: list[tuple] = []
             for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True):

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import fresh_path, id_and_text, small_batches, stage
-from .tokens import Encoder
+from .tokens import encoder
 
 # Fixed values of the seekable format.
 SKIPPABLE, SEEK_SKIPPABLE, SEEK_MAGIC, WITH_CHECKSUM = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1, 0x80
@@ -145,7 +145,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str = "byte_bpe_50k.json
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        context, encode, end = TaskContext.get(), Encoder(tokenizer), struct.pack("<I", end_id)
+        context, encode, end = TaskContext.get(), encoder(tokenizer), struct.pack("<I", end_id)
         part, out, ids, counts, held, size = context.partitionId(), None, [], [], [], 0
         name = f"{path}/part-{part:06d}.tok.zst"
         for batch in batches:

@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from functools import lru_cache
 
 # The published pre-tokenization pattern, in the standard library's classes.
 _WORD = re.compile(r"'(?:[sdmt]|ll|ve|re)| ?[^\W\d_]+| ?[0-9]+| ?[^\s\w]+(?:[^\s\w]|_)*| ?_(?:[^\s\w]|_)*|\s+(?!\S)|\s+")
@@ -59,3 +60,9 @@ class Encoder:
         if len(known) < self.words:
             known.update((w, x) for w, x in ids.items() if len(w) < 64)
         return b"".join([known.get(w) or ids[w] for w in found])
+
+
+@lru_cache(maxsize=2)
+def encoder(name: str = "byte_bpe_50k.json") -> Encoder:
+    """This process's encoder: a worker's later tasks find the words of its earlier ones."""
+    return Encoder(name)
