@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, quality, token_files
+from . import mixing, packing, quality, token_files, toxicity, warc
 from .common import documents
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = toxicity.learn_and_score(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return out.select("doc_id", "held_out", "score", "predicted")
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.encode_to_files(documents(spark, sf_dir))
 
@@ -29,6 +34,10 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.bundle_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def queries() -> dict:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
