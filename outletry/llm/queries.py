@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, quality, token_files, toxicity, warc
+from . import mixing, packing, privacy, quality, token_files, toxicity, warc
 from .common import documents
 
 
+def op1_privacy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = privacy.find(documents(spark, sf_dir))
+    n = [privacy.count_of("base", r).alias(f"n_{k}") for r, k in enumerate(privacy.KINDS[:4])]
+    return out.select("doc_id", *n, F.sha2(privacy.written(F.col("base")), 256).alias("base_sha256"), privacy.written(F.col("spans")).alias("spans"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = toxicity.learn_and_score(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return out.select("doc_id", "held_out", "score", "predicted")
