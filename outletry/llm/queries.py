@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, privacy, quality, token_files, toxicity, warc
+from . import mixing, packing, privacy, quality, token_files, toxicity, vectors, warc
 from .common import documents
 
 
@@ -28,6 +28,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
 
+def op5_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality.judge(documents(spark, sf_dir))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
