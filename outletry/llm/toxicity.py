@@ -8,6 +8,7 @@ of documents train. So the model also tells which sentences offend.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,8 +30,8 @@ class Training:
     fitted on, chosen by a hash of the id. min_docs: words of fewer sampled documents
     have no weight. steps, rate, l1: of the fit."""
 
-    max_positive: int = 3000
-    max_negative: int = 5000
+    max_positive: int = 2000
+    max_negative: int = 3000
     min_docs: int = 8
     steps: int = 250
     rate: float = 0.15
@@ -104,29 +105,31 @@ def fit(texts: list[str], y: np.ndarray, at: Training) -> Model:
     if not len(y) or y.min() == y.max():
         share = float(y.mean()) if len(y) else 0.0
         return Model({}, float(np.log((share + 1e-3) / (1 - share + 1e-3))))
-    seen: dict[str, list[int]] = {}
-    bags = []
+    seen: dict[str, int] = {}
+    toxic: dict[str, int] = {}
+    for text, label in zip(texts, y, strict=True):
+        for f in {f for w in set(_WORD.findall(text.lower())) for f in features(w)}:
+            seen[f] = seen.get(f, 0) + 1
+            if label:
+                toxic[f] = toxic.get(f, 0) + 1
+    names = sorted(f for f, n in seen.items() if n >= at.min_docs)
+    number = {f: i for i, f in enumerate(names)}
+    total, bad = np.array([seen[f] for f in names], float), np.array([toxic.get(f, 0) for f in names], float)
+    del seen, toxic
+    doc_of, sentence_of, word_of = array("i"), array("i"), array("i")
     for k, text in enumerate(texts):
-        bag = [[f for w in dict.fromkeys(_WORD.findall(m[0].lower())) for f in features(w)] for m in _SENTENCE.finditer(text)] or [[]]
-        bags.append(bag)
-        for w in set().union(*bag):
-            c = seen.setdefault(w, [0, 0])
-            c[int(y[k])] += 1
-    names = sorted(w for w, c in seen.items() if sum(c) >= at.min_docs)
-    number = {w: i for i, w in enumerate(names)}
-    doc_of, sentence_of, word_of = [], [], []
-    for k, bag in enumerate(bags):
-        for s in bag:
-            for w in s:
-                if (i := number.get(w)) is not None:
-                    sentence_of.append(len(doc_of))
-                    word_of.append(i)
+        for m in list(_SENTENCE.finditer(text)) or [None]:
+            for w in set(_WORD.findall(m[0].lower())) if m else ():
+                for f in features(w):
+                    if (i := number.get(f)) is not None:
+                        sentence_of.append(len(doc_of))
+                        word_of.append(i)
             doc_of.append(k)
-    doc_of, sentence_of, word_of = np.array(doc_of), np.array(sentence_of, np.int64), np.array(word_of, np.int64)
+    doc_of, sentence_of, word_of = (np.array(x, np.int32) for x in (doc_of, sentence_of, word_of))
     n_pos, n = y.sum(), len(y)
     weight = np.where(y == 1, 0.5 / n_pos, 0.5 / (n - n_pos))
     # Begin where each word's own log odds over documents point, shrunk; the steps do the rest.
-    odds = np.array([np.log((seen[w][1] + 0.5) / (n_pos + 1)) - np.log((seen[w][0] + 0.5) / (n - n_pos + 1)) for w in names])
+    odds = np.log((bad + 0.5) / (n_pos + 1)) - np.log((total - bad + 0.5) / (n - n_pos + 1))
     w = np.where(np.abs(odds) > 2, odds, 0.0)
     per_doc = np.bincount(doc_of, minlength=n)
     b = -np.log(max(float(np.mean(per_doc)), 1.0)) - 3.0
