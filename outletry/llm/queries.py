@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, privacy, quality, token_files, toxicity, vectors, warc
+from . import mixing, packing, privacy, quality, shingles, token_files, toxicity, vectors, warc
 from .common import documents
 
 
@@ -48,6 +48,10 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.bundle_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op10_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingles.join(documents(spark, sf_dir))
+
+
 def queries() -> dict:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
