@@ -4,28 +4,46 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from outletry.llm import quality
+from outletry.llm import mixing, packing, privacy, quality, shingles
 from outletry.llm.common import documents, fresh_path
 
-COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Quality rules: rejected documents go."""
     return quality.keep_good(docs)
 
 
-STAGES = [("quality", quality_stage)]
+def shingle_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """N-gram Jaccard join: one document of each group stays."""
+    return shingles.keep_one(docs)
+
+
+def privacy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data: every span found is replaced by its kind."""
+    return privacy.redact(docs)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Source weights: a document comes as often as the mix takes it, in its shards' order."""
+    return mixing.mixed_documents(docs)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Packing: every piece of every document with its sequence and offset."""
+    return packing.pack(docs)
+
+
+STAGES = [("quality", quality_stage), ("shingles", shingle_stage), ("privacy", privacy_stage), ("mixing", mixing_stage), ("packing", packing_stage)]
 
-#: Jensen-Shannon references, the similarity join and packing need whole-corpus loops that one SQL text can't state; tests hold the stages against plain versions instead.
+#: The mean references, the random paths of the join, the drawn blocks and the cutting-stock program can't be stated in SQL; tests hold the stages against plain versions instead.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages one after another, each over all that its predecessor kept."""
     docs = documents(spark, sf_dir)
-    for name, stage in STAGES:
+    for name, stage in STAGES[:-1]:
         path = fresh_path(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)

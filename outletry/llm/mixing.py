@@ -170,3 +170,12 @@ def place(mixed: DataFrame, at: Mix = Mix()) -> DataFrame:
     ranges = rows_of(spark, plan, "stratum int, shard int, lo long, hi long")
     units = stage(units.join(ranges, "stratum").where((F.col("no") >= F.col("lo")) & (F.col("no") < F.col("hi"))).select("key", "pass", "b1", "shard"), "mix-dealt")
     return copies.join(units, ["key", "pass", "b1"]).withColumn("order", F.xxhash64(F.lit(at.seed + 1), "shard", "pass", "uid"))
+
+
+def mixed_documents(docs: DataFrame, at: Mix = Mix()) -> DataFrame:
+    """The rows that the mix takes, each as often as it takes it, with the columns of ``docs``.
+
+    Partitions hold whole shards, in the order of their keys.
+    """
+    placed = place(mix(docs, at, carry=True), at)
+    return placed.select("row", "shard", "order").repartition(at.shards, "shard").sortWithinPartitions("shard", "order").select("row.*")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, privacy, quality, shingles, token_files, toxicity, vectors, warc
+from . import chat, mixing, packing, privacy, quality, shingles, token_files, toxicity, vectors, warc
 from .common import documents
 
 
@@ -37,6 +37,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.conversations(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(documents(spark, sf_dir))
     placed = mixing.place(mixed).groupBy("uid").agg(F.sum("size").alias("taken"))
