@@ -104,7 +104,7 @@ def mix(docs: DataFrame, at: Mix = Mix(), carry: bool = False) -> DataFrame:
     (or carried).
     """
     text, source = F.col("text").cast("string"), F.col("source").cast("string")
-    row = [F.struct(*[docs[c] for c in docs.columns]).alias("row")] if carry else []
+    row = [F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row")] if carry else []
     d = docs.select(*row, F.col("doc_id").cast("long").alias("doc_id"), _key(source).alias("key"), word_count(text).alias("size"))
     d = stage(d.withColumns({"uid": F.monotonically_increasing_id(), "h": F.xxhash64(F.lit(at.seed), F.coalesce("doc_id", F.lit(-1)), "size", F.col("key"))}), "mix")
     bits = at.block_bits

@@ -146,7 +146,7 @@ def find(docs: DataFrame, at: Bootstrap = Bootstrap(), carry: bool = False) -> D
     equal spans, each its own, and count once in the graph. Overlapping spans of
     different kinds all stay. An empty table gives no rows; extra columns are ignored.
     """
-    row = [F.struct(*[docs[c] for c in docs.columns]).alias("row")] if carry else []
+    row = [F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row")] if carry else []
     d = docs.select(*row, F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("t"))
     d = d.withColumn("base", base_spans(F.col("t")))
     d = d.select(*["row"] * carry, "doc_id", "base", _occurrences(F.col("t"), F.col("base"), at).alias("seen"))

@@ -57,7 +57,7 @@ def _measured(docs: DataFrame, carry: bool) -> DataFrame:
     """
     row = ["row"] if carry else []
     lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.coalesce(lang, F.lit("")).alias("lang"), *[F.struct(*[docs[c] for c in docs.columns]).alias("row")] * carry)
+    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.coalesce(lang, F.lit("")).alias("lang"), *[F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row")] * carry)
     d = d.withColumn("w", word_array(F.col("text"))).withColumn("n", F.size("w"))
     lines = F.filter(F.split("text", "\n", -1), lambda x: F.length(F.btrim(x, F.lit(BLANKS))) > 0)
     d = d.withColumn("ls", lines)

@@ -306,10 +306,12 @@ def keep_one(docs: DataFrame, at: Join = Join()) -> DataFrame:
     all_ = describe(docs, at)
     out = _joined(docs, all_, at)
     kept = out.where(F.col("uid") == F.col("keeper")).join(all_.select("uid", "mark"), "uid")
-    kept = stage(kept.select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark")), "kept")
-    here = [F.col("__id").eqNullSafe(docs["doc_id"].cast("long")), F.col("__mark") == _mark(docs["text"])]
-    again = stage(all_.groupBy(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark")).count().where("count > 1").drop("count"), "kept-again")
+    kept = stage(kept.select("doc_id", "mark"), "kept")
+    again = stage(all_.groupBy("doc_id", "mark").count().where("count > 1").drop("count"), "kept-again")
+    same = lambda t: [t["doc_id"].eqNullSafe(docs["doc_id"].cast("long")), t["mark"] == _mark(docs["text"])]
     if again.isEmpty():
-        return docs.join(kept, here, "left_semi")
-    one = docs.join(again.join(kept.distinct(), [again["__id"].eqNullSafe(kept["__id"]), again["__mark"] == kept["__mark"]], "left_semi"), here, "left_semi")
-    return docs.join(kept, here, "left_semi").join(again, here, "left_anti").unionByName(one.dropDuplicates(["doc_id", "text"]))
+        return docs.join(kept, same(kept), "left_semi")
+    more = again.join(kept, [again["doc_id"].eqNullSafe(kept["doc_id"]), again["mark"] == kept["mark"]], "left_semi")
+    more = stage(more, "kept-more")
+    rest = docs.join(kept, same(kept), "left_semi").join(again, same(again), "left_anti")
+    return rest.unionByName(docs.join(more, same(more), "left_semi").dropDuplicates(["doc_id", "text"]))
