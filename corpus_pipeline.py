@@ -1,11 +1,17 @@
-"""A corpus pipeline of five stages over ``documents``."""
+"""A corpus pipeline of five stages over ``documents``.
+
+Each stage's result is written before the next one begins, which then deletes the
+tables that its predecessors staged in the shared folder.
+"""
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 
 from outletry.llm import mixing, packing, privacy, quality, shingles
-from outletry.llm.common import documents, fresh_path
+from outletry.llm.common import documents, fresh_path, release
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +39,19 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return packing.pack(docs)
 
 
-STAGES = [("quality", quality_stage), ("shingles", shingle_stage), ("privacy", privacy_stage), ("mixing", mixing_stage), ("packing", packing_stage)]
+def _alone(stage):
+    """The stage, after what others have staged is gone; `run` keeps its own tables elsewhere."""
+
+    @functools.wraps(stage)
+    def begin(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        release(spark, tuple(_results))
+        return stage(spark, docs, sf_dir)
+
+    return begin
+
+
+_results: list[str] = []  # paths of `run`
+STAGES = [("quality", _alone(quality_stage)), ("shingles", _alone(shingle_stage)), ("privacy", _alone(privacy_stage)), ("mixing", _alone(mixing_stage)), ("packing", _alone(packing_stage))]
 
 #: The mean references, the random paths of the join, the drawn blocks and the cutting-stock program can't be stated in SQL; tests hold the stages against plain versions instead.
 ORACLE_SQL = None
@@ -44,6 +62,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     for name, stage in STAGES[:-1]:
         path = fresh_path(spark, f"pipeline-{name}")
+        _results.append(path)
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)

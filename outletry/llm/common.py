@@ -37,13 +37,24 @@ def _delete(spark: SparkSession, path: str) -> None:
         pass
 
 
+_staged: list[str] = []
+
+
 def fresh_path(spark: SparkSession, tag: str) -> str:
-    """A new path below the shared folder, deleted when the driver exits."""
+    """A new path below the shared folder, deleted by :func:`release` or when the driver exits."""
     path = f"{shared_dir(spark)}/outletry/{tag}-{uuid.uuid4().hex}"
+    _staged.append(path)
     atexit.register(_delete, spark, path)
     return path
 
 
+def release(spark: SparkSession, keep: tuple[str, ...] = ()) -> None:
+    """Delete what was staged so far, but for `keep`; only where all results drawn from it are written."""
+    for path in [p for p in _staged if p not in keep]:
+        _delete(spark, path)
+        _staged.remove(path)
+
+
 def stage(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -56,6 +67,11 @@ def stage(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def if_small(df: DataFrame, rows: int = 400_000) -> DataFrame:
+    """A staged table of narrow rows, marked for broadcasting if it has so few rows; else as it is, to be shuffled."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Keep Arrow batches of whole texts small: fewer rows and at most 16 MB each."""
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > rows:
