@@ -29,7 +29,8 @@ class Mix:
     most: no document is taken more often, no target is above so many times its
     source. block_bits: a level of blocks has 2**block_bits of them. zone: so many
     documents at least are tried to fill the end of a pass. shards, seed: of the
-    output. strata: so many sources, the largest, have quotas of their own in the
+    tree's output; each is cut by a hash into files of about `file_words` words, so files
+    don't grow with the corpus. strata: so many sources, the largest, have quotas of their own in the
     tree; the others share one, so the driver's plan is bounded.
     """
 
@@ -38,6 +39,7 @@ class Mix:
     block_bits: int = 10
     zone: int = 64
     shards: int = 64
+    file_words: int = 4_000_000
     seed: int = 11
     strata: int = 4096
 
@@ -175,7 +177,10 @@ def place(mixed: DataFrame, at: Mix = Mix()) -> DataFrame:
 def mixed_documents(docs: DataFrame, at: Mix = Mix()) -> DataFrame:
     """The rows that the mix takes, each as often as it takes it, with the columns of ``docs``.
 
-    Partitions hold whole shards, in the order of their keys.
+    Partitions hold a shard, or a file of a large one, in the order of their keys.
     """
-    placed = place(mix(docs, at, carry=True), at)
-    return placed.select("row", "shard", "order").repartition(at.shards, "shard").sortWithinPartitions("shard", "order").select("row.*")
+    mixed = mix(docs, at, carry=True)
+    words = mixed.agg(F.coalesce(F.sum("taken"), F.lit(0))).first()[0]
+    files = max(1, -(-words // (at.shards * at.file_words)))
+    placed = place(mixed, at).select("row", "shard", "order", F.pmod("order", F.lit(files)).alias("file"))
+    return placed.repartition(at.shards * files, "shard", "file").sortWithinPartitions("shard", "file", "order").select("row.*")
