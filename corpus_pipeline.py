@@ -11,7 +11,7 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 
 from outletry.llm import mixing, packing, privacy, quality, shingles
-from outletry.llm.common import documents, fresh_path, release
+from outletry.llm.common import documents, fresh_path, release, staged
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,18 +39,24 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return packing.pack(docs)
 
 
+_tables: set[str] = set()  # what the stage before staged
+
+
 def _alone(stage):
-    """The stage, after what others have staged is gone; `run` keeps its own tables elsewhere."""
+    """The stage, after the tables that the stages before it staged are gone."""
 
     @functools.wraps(stage)
     def begin(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        release(spark, tuple(_results))
-        return stage(spark, docs, sf_dir)
+        release(spark, _tables)
+        others = staged()
+        out = stage(spark, docs, sf_dir)
+        _tables.clear()
+        _tables.update(staged() - others)
+        return out
 
     return begin
 
 
-_results: list[str] = []  # paths of `run`
 STAGES = [("quality", _alone(quality_stage)), ("shingles", _alone(shingle_stage)), ("privacy", _alone(privacy_stage)), ("mixing", _alone(mixing_stage)), ("packing", _alone(packing_stage))]
 
 #: The mean references, the random paths of the join, the drawn blocks and the cutting-stock program can't be stated in SQL; tests hold the stages against plain versions instead.
@@ -62,7 +68,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     for name, stage in STAGES[:-1]:
         path = fresh_path(spark, f"pipeline-{name}")
-        _results.append(path)
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -48,9 +48,14 @@ def fresh_path(spark: SparkSession, tag: str) -> str:
     return path
 
 
-def release(spark: SparkSession, keep: tuple[str, ...] = ()) -> None:
-    """Delete what was staged so far, but for `keep`; only where all results drawn from it are written."""
-    for path in [p for p in _staged if p not in keep]:
+def staged() -> set[str]:
+    """The paths staged so far that are still there."""
+    return set(_staged)
+
+
+def release(spark: SparkSession, paths: set[str]) -> None:
+    """Delete staged tables; only where all results drawn from them are written."""
+    for path in paths & set(_staged):
         _delete(spark, path)
         _staged.remove(path)
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import labels, large_groups, near_pairs, split_groups, whole_groups
-from .common import small_batches, stage
+from .common import if_small, small_batches, stage
 from .components import components
 
 
@@ -247,7 +247,9 @@ def fetch_sets(docs: DataFrame, wanted: DataFrame, at: Join) -> DataFrame:
     small_batches(docs.sparkSession)
     rest = [c for c in wanted.columns if c not in ("doc_id", "digest")]
     d = docs.select(F.col("doc_id").cast("long").alias("d"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    d = d.join(wanted, F.col("d").eqNullSafe(F.col("doc_id"))).select("text", "digest", *rest)
+    wanted = stage(wanted, "wanted")
+    d = d.join(if_small(wanted), F.col("d").eqNullSafe(F.col("doc_id"))).select("text", "digest", *rest)
+    # Where few sets are wanted, the texts stay where they are; else both sides are shuffled.
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in wanted.schema.fields if f.name in rest) + ", tokens binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -305,13 +307,12 @@ def keep_one(docs: DataFrame, at: Join = Join()) -> DataFrame:
     """
     all_ = describe(docs, at)
     out = _joined(docs, all_, at)
-    kept = out.where(F.col("uid") == F.col("keeper")).join(all_.select("uid", "mark"), "uid")
-    kept = stage(kept.select("doc_id", "mark"), "kept")
-    again = stage(all_.groupBy("doc_id", "mark").count().where("count > 1").drop("count"), "kept-again")
+    marked = stage(out.join(all_.select("uid", "mark"), "uid").select("doc_id", "mark", (F.col("uid") == F.col("keeper")).alias("keep")), "kept")
+    ids = marked.groupBy("doc_id", "mark").agg(F.bool_or("keep").alias("keep"), F.count("*").alias("n"))
+    ids = stage(ids.where("n > 1 or not keep"), "kept-ids")
     same = lambda t: [t["doc_id"].eqNullSafe(docs["doc_id"].cast("long")), t["mark"] == _mark(docs["text"])]
+    rest = docs.join(if_small(ids), same(ids), "left_anti")  # the smaller side is what goes
+    again = ids.where("n > 1 and keep")
     if again.isEmpty():
-        return docs.join(kept, same(kept), "left_semi")
-    more = again.join(kept, [again["doc_id"].eqNullSafe(kept["doc_id"]), again["mark"] == kept["mark"]], "left_semi")
-    more = stage(more, "kept-more")
-    rest = docs.join(kept, same(kept), "left_semi").join(again, same(again), "left_anti")
-    return rest.unionByName(docs.join(more, same(more), "left_semi").dropDuplicates(["doc_id", "text"]))
+        return rest
+    return rest.unionByName(docs.join(again, same(again), "left_semi").dropDuplicates(["doc_id", "text"]))
