@@ -17,12 +17,6 @@ from outletry.functions import predicates
 from outletry.functions.text import text_of
 
 SCHEMA = "url string, status int, content_type string, body string"
-_transports: dict[str, Callable[[str], tuple[int, str, str]]] = {}
-
-
-def register_transport(name: str, get: Callable[[str], tuple[int, str, str]]) -> None:
-    """A transport is a function of a URL to (status, content type, body); it is shipped to the workers."""
-    _transports[name] = get
 
 
 class _Chunk(InputPartition):
@@ -50,24 +44,25 @@ class _Reader(DataSourceReader):
                     break
 
 
-class PageSource(DataSource):
-    """format("outlet_pages") with options transport, urls (one a line), tries, chunk."""
+def read_pages(spark: SparkSession, urls: list[str], get: Callable[[str], tuple[int, str, str]], tries: int = 2, chunk: int = 50) -> DataFrame:
+    """Fetch URLs in parallel by a transport: a function of a URL to (status, content type, body).
 
-    @classmethod
-    def name(cls) -> str:
-        return "outlet_pages"
+    The transport is shipped to the workers; errors, 429 and 5xx are tried again.
+    """
 
-    def schema(self) -> str:
-        return SCHEMA
+    class PageSource(DataSource):  # local, so that it takes the transport along
+        @classmethod
+        def name(cls) -> str:
+            return "outlet_pages"
 
-    def reader(self, schema) -> _Reader:
-        o = self.options
-        return _Reader([u for u in o.get("urls", "").split("\n") if u], _transports[o["transport"]], int(o.get("tries", 2)), int(o.get("chunk", 50)))
+        def schema(self) -> str:
+            return SCHEMA
 
+        def reader(self, schema) -> _Reader:
+            return _Reader(urls, get, tries, chunk)
 
-def read_pages(spark: SparkSession, urls: list[str], transport: str) -> DataFrame:
     spark.dataSource.register(PageSource)
-    return spark.read.format("outlet_pages").options(transport=transport, urls="\n".join(urls)).load()
+    return spark.read.format("outlet_pages").load()
 
 
 def retry_class(status: Column) -> Column:
