@@ -90,7 +90,7 @@ def name_tokens(c: Column, stop: list[str] = vocab.STOP_WORDS) -> Column:
 def keyword_hits(c: Column, words: list[str] = vocab.ADDRESS_WORDS) -> Column:
     """How many of the words occur in the text."""
     low = F.lower(text_of(c))
-    return sum((F.contains(low, F.lit(w)).cast("int") for w in words[1:]), F.contains(low, F.lit(words[0])).cast("int"))
+    return F.size(F.filter(F.array(*[F.lit(w) for w in words]), lambda w: F.contains(low, w)))
 
 
 def best_address_line(lines: Column, name: Column, words: list[str] = vocab.ADDRESS_WORDS) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from outletry.functions import predicates as P
 from outletry.operators import build, chain, extract, registry, resolve
 from outletry.sources import dom, tables
+from outletry.sources.staging import stage
 
 #: Offline extractors by name: (elements, pages) to records. Register more with :func:`register`.
 EXTRACTORS: dict[str, Callable[[DataFrame, DataFrame], DataFrame]] = {
@@ -30,10 +31,10 @@ def extracted(pages: DataFrame, recorded: dict[str, DataFrame] | None = None) ->
     recorded: records of feeds by their extractor's name.
     """
     pages = pages.where(~P.is_non_branch_page(F.col("url")))
-    elements = dom.elements(pages)
+    elements = stage(dom.elements(pages), "elements")
     found = None
     for name, f in EXTRACTORS.items():
-        r = f(elements, pages).select("page_id", "ord", *extract.RECORD).withColumns({"extractor": F.lit(name), "priority": F.lit(chain.PRIORITY[name])})
+        r = stage(f(elements, pages).select("page_id", "ord", *extract.RECORD), name).withColumns({"extractor": F.lit(name), "priority": F.lit(chain.PRIORITY[name])})
         found = r if found is None else found.unionByName(r)
     for name, r in (recorded or {}).items():
         found = found.unionByName(r.select("page_id", "ord", *extract.RECORD).withColumns({"extractor": F.lit(name), "priority": F.lit(chain.PRIORITY[name])}))
@@ -44,9 +45,9 @@ def extracted(pages: DataFrame, recorded: dict[str, DataFrame] | None = None) ->
 
 def directory(pages: DataFrame, seeds: DataFrame, banks: DataFrame, branches: DataFrame, recorded: dict[str, DataFrame] | None = None) -> DataFrame:
     """Parts of all seeds' banks."""
-    raw = extracted(pages, recorded)
-    resolved = resolve.resolve(raw)
-    ids = registry.lookup_banks(seeds, banks).select("bank", "rkey", "bank_id")
-    stored = build.shape(resolved, ids.select("bank", "rkey"), branches)
+    raw = stage(extracted(pages, recorded), "extracted")
+    resolved = stage(resolve.resolve(raw), "resolved")
+    ids = stage(registry.lookup_banks(seeds, banks).select("bank", "rkey", "bank_id"), "ids")
+    stored = stage(build.shape(resolved, ids.select("bank", "rkey"), branches), "stored")
     about = build.status_of(stored, seeds).join(chain.methods(raw, "bank"), "bank", "left").join(ids.select("bank", "bank_id"), "bank", "left").join(seeds.select("bank", F.col("website").alias("bank_url")), "bank", "left")
     return tables.to_parts(stored, about)
