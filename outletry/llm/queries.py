@@ -60,5 +60,27 @@ def queries() -> dict:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
 
+_REACHED = """reach as (select id, id as other from nodes union select r.id, p.b from reach r join pairs p on p.a = r.other)"""
+
+# All pairs by brute force; components by closure.
+_OP5 = f"""with recursive v as (select vec_id, cast(embedding as double[]) as e from embeddings), nodes as (select vec_id as id from v),
+ pairs as (select a.vec_id as a, b.vec_id as b from v a join v b on a.vec_id <> b.vec_id and list_cosine_similarity(a.e, b.e) >= 0.95), {_REACHED},
+ c as (select id, min(other) as component_id from reach group by id), n as (select a as id, count(*) as n from pairs group by a)
+ select c.id as vec_id, coalesce(n.n, 0) as n_links, component_id, c.id = component_id as kept from c left join n using (id)"""
+
+# Base32 of the SHA-1: five hexadecimal digits are four characters.
+_B32 = "array_to_string(list_transform(range(0, 32), lambda i: substring('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + cast((cast('0x' || substring(h, 1 + 5 * (i // 4), 5) as bigint) >> (15 - 5 * (i % 4))) & 31 as int), 1)), '')"
+_OP9 = f"""select page_id, strlen(t) as payload_bytes, {_B32} as payload_digest, case when page_id = first then 'response' else 'revisit' end as record_type, case when page_id <> first then first end as refers_to
+ from (select *, sha1(t) as h, min(page_id) over (partition by t) as first from (select page_id, coalesce(html, '') as t from pages))"""
+
+_OP10 = f"""with recursive w as (select doc_id, list_filter(string_split_regex(coalesce(text, ''), '[ \\t\\n\\v\\f\\r]+'), lambda x: x <> '') as w from documents),
+ s as (select doc_id, list_distinct(case when len(w) >= 5 then list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as s from w),
+ u as (select doc_id, unnest(s) as g from s), k as (select a.doc_id as a, b.doc_id as b, count(*) as n from u a join u b on a.g = b.g and a.doc_id <> b.doc_id group by all),
+ j as (select k.a, k.b, n / (len(x.s) + len(y.s) - n) as j from k join s x on x.doc_id = k.a join s y on y.doc_id = k.b), pairs as (select a, b, j from j where j >= 0.8), nodes as (select doc_id as id from s), {_REACHED},
+ c as (select id, min(other) as class_id from reach group by id), n as (select a as id, count(*) as n, min(case when j = 1 then b end) as twin from pairs group by a)
+ select c.id as doc_id, class_id, least(c.id, coalesce(twin, c.id)) as copy_of, coalesce(n.n, 0) as n_links from c left join n using (id)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL twins; the other operators fit models, draw at random, or need a tokenizer, and tests hold them against plain versions."""
+    return {"op5_vectors": _OP5, "op9_warc": _OP9, "op10_shingle_join": _OP10}
