@@ -15,7 +15,8 @@ from array import array
 from functools import lru_cache
 
 # The published pre-tokenization pattern, in the standard library's classes.
-_WORD = re.compile(r"'(?:[sdmt]|ll|ve|re)| ?[^\W\d_]+| ?[0-9]+| ?[^\s\w]+(?:[^\s\w]|_)*| ?_(?:[^\s\w]|_)*|\s+(?!\S)|\s+")
+_WORD = re.compile(r" ?[^\W\d_]+|'(?:[sdmt]|ll|ve|re)| ?[0-9]+| ?[^\s\w]+(?:[^\s\w]|_)*| ?_(?:[^\s\w]|_)*|\s+(?!\S)|\s+")
+_ASCII = re.compile(_WORD.pattern.replace(r"[^\W\d_]", "[A-Za-z]"), re.ASCII)
 # Numbers that are neither letters nor ASCII digits, blanks of one library only, and all beyond the Latin and Greek blocks.
 _ODD = re.compile(r"[\x1c-\x1f\x85\xb2\xb3\xb9\xbc-\xbe]|[^\x00-ɏΑ-ΡΣ-ω‐-‧‰-⁞€]")
 
@@ -48,18 +49,23 @@ class Encoder:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def __call__(self, text: str) -> bytes:
-        if _ODD.search(text):
+        if text.isascii():
+            plain, pattern = not any(c in text for c in "\x1c\x1d\x1e\x1f"), _ASCII
+        else:
+            plain, pattern = not _ODD.search(text), _WORD
+        if not plain:
             return self._whole([text])[0]
-        found, known = _WORD.findall(text), self.known
-        try:
-            return b"".join(map(known.__getitem__, found))
-        except KeyError:
-            pass
-        new = [w for w in dict.fromkeys(found) if w not in known]
-        ids = dict(zip(new, self._whole(new), strict=True))
-        if len(known) < self.words:
-            known.update((w, x) for w, x in ids.items() if len(w) < 64)
-        return b"".join([known.get(w) or ids[w] for w in found])
+        found = pattern.findall(text)
+        got = list(map(self.known.get, found))
+        if None in got:
+            places = [i for i, x in enumerate(got) if x is None]
+            new = list(dict.fromkeys([found[i] for i in places]))
+            ids = dict(zip(new, self._whole(new), strict=True))
+            for i in places:
+                got[i] = ids[found[i]]
+            if len(self.known) < self.words:
+                self.known.update((w, x) for w, x in ids.items() if len(w) < 64)
+        return b"".join(got)
 
 
 @lru_cache(maxsize=2)
