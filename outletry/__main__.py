@@ -8,7 +8,7 @@ import sys
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from outletry.operators import registry, store
+from outletry.operators import build, registry, store
 from outletry.plans.directory import directory
 from outletry.sources import tables
 
@@ -18,15 +18,25 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--csv", help="seeds")
     p.add_argument("--pages", help="Parquet of recorded pages: page_id, bank, url, html")
     p.add_argument("--registry", help="registry JSON")
-    p.add_argument("--parts", required=True, help="folder of parts")
+    p.add_argument("--parts", default="parts", help="folder of parts")
     p.add_argument("--bank", default="", help="only banks whose name holds this")
     p.add_argument("--limit", type=int, default=0)
     p.add_argument("--resume", action="store_true", help="skip banks whose part succeeded")
     p.add_argument("--force", action="store_true", help="with --resume: skip none")
     p.add_argument("--upgrade-parts", action="store_true")
+    p.add_argument("--build-ids", action="store_true", help="build the registry from --geo and --lines, and write it to --registry")
+    p.add_argument("--geo", help="Parquet of registry rows, see operators.build")
+    p.add_argument("--lines", help="Parquet of routing lines: line, words")
     p.add_argument("--dry-run", action="store_true", help="with --upgrade-parts: write nothing")
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName("outletry").getOrCreate()
+    if a.build_ids:
+        if not (a.geo and a.lines and a.registry):
+            print("--build-ids needs --geo, --lines and --registry", file=sys.stderr)
+            return 1
+        b, br = build.build_registry(spark.read.parquet(a.geo), spark.read.parquet(a.lines))
+        tables.registry_to_json(b, br, [a.geo, a.lines]).coalesce(1).write.mode("overwrite").text(a.registry)
+        return 0
     doc = spark.read.text(a.registry, wholetext=True) if a.registry else spark.createDataFrame([("{}",)], "value string")
     banks, branches = tables.registry_from_json(doc)
     if a.upgrade_parts:

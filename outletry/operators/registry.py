@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from outletry.functions.similarity import sequence_ratio
-from outletry.functions.text import branch_key, norm_key, office_title, text_of
+from outletry.functions.text import branch_key, norm_key, office_title, strip_regions, text_of
 
 # Keys of banks that the registry lists under another name; null: not listed.
 ALIASES = [("exim", "export import"), ("hsbc", "hong kong shanghai banking corporation"), ("ncc", "national credit commerce"), ("standard", "standard islami"), ("sammilito islami", None)]
@@ -89,17 +89,24 @@ def resolve_bank_words(lines: DataFrame, index: DataFrame, most: int = 6, fuzzy:
     return exact.unionByName(more).groupBy("line").agg(F.min_by(F.struct("n", "rkey", "stage"), "at").alias("m")).select("line", "m.*")
 
 
-def merge_offices(with_id: DataFrame, without: DataFrame, least: float = 0.70) -> DataFrame:
+def merge_offices(with_id: DataFrame, without: DataFrame, least: float = 0.70, regions: list[str] = ["north", "south"]) -> DataFrame:
     """A registry bank's offices: rows without an id give their routing to the best row with one.
 
-    Both: rkey, bkey, name, routing (and fi_branch_id). The best score of a row is its ratio to
-    each candidate of its bank, or 1 where one key holds the other; each office takes
-    one routing, from the first by key; rows below `least` are offices of their own.
+    Both: rkey, bkey, name, routing (and fi_branch_id). A row is compared by its key, by
+    the key without the regions it begins with, and by its second half where the first
+    is much the same; its score is the best ratio to an office of its bank, or 1 where
+    one of these holds the office's key. Each office takes one routing, from the first by
+    key; rows below `least` are offices of their own.
     """
-    squash = lambda c: F.regexp_replace(c, " ", "")
+    squash = lambda c: F.regexp_replace(c, "[^a-z0-9]", "")
     a = with_id.select("rkey", F.col("bkey").alias("a"))
-    p = without.select("rkey", "bkey", "routing").join(a, "rkey")
-    score = F.when(F.contains(squash(F.col("bkey")), squash(F.col("a"))) | F.contains(squash(F.col("a")), squash(F.col("bkey"))), 1.0).otherwise(sequence_ratio(squash(F.col("bkey")), squash(F.col("a"))))
+    t = without.select("rkey", "bkey", "routing").withColumn("t", F.split("bkey", " "))
+    half = F.floor(F.size("t") / 2).cast("int")
+    t = t.withColumns({"h1": squash(F.array_join(F.slice("t", F.lit(1), half), "")), "h2": squash(F.array_join(F.slice("t", half + 1, F.size("t")), ""))})
+    t = t.withColumn("alike", sequence_ratio(F.col("h1"), F.col("h2")))
+    forms = F.array(squash(F.col("bkey")), squash(F.array_join(strip_regions(F.col("t"), regions), "")), F.when((F.size("t") > 1) & (F.col("alike") >= 0.70), F.col("h2")))
+    p = t.select("rkey", "bkey", "routing", F.explode(F.array_distinct(F.array_compact(forms))).alias("form")).join(a, "rkey")
+    score = F.when(F.contains("form", squash(F.col("a"))) & (squash(F.col("a")) != ""), 1.0).otherwise(sequence_ratio(F.col("form"), squash(F.col("a"))))
     best = p.withColumn("score", score).groupBy("rkey", "bkey", "routing").agg(F.max_by("a", F.struct("score", "a")).alias("a"), F.max("score").alias("score"))
     gives = best.where(F.col("score") >= least)
     first = gives.where("routing <> ''").groupBy("rkey", "a").agg(F.min_by("routing", F.lower("bkey")).alias("given"))

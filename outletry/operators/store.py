@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from outletry.functions import predicates as P
@@ -98,3 +98,13 @@ def audit(parts: DataFrame, records: DataFrame, expected: DataFrame, most_empty:
     m = p.select("bank", "slug").join(x, F.contains("slug", F.col("key"))).groupBy("bank").agg(F.min_by(F.struct("e_branches", "e_subs"), "e_ord").alias("e"))
     d = p.join(m, "bank", "left")
     return d.select("bank", "status", F.coalesce("branches", F.lit(0)).alias("branches"), F.coalesce("subs", F.lit(0)).alias("subs"), F.coalesce("n_junk", F.lit(0)).alias("n_junk"), "junk", (F.coalesce("empty", F.lit(0.0)) > most_empty).alias("flag_empty"), (F.col("status") != "success").alias("flag_status"), (F.col("branches") - F.col("e.e_branches")).alias("d_branches"), (F.col("subs") - F.col("e.e_subs")).alias("d_subs"))
+
+
+def backup(spark: SparkSession, path: str) -> None:
+    """Copy a file or folder to its name with .bak, replacing an older copy."""
+    fs, conf = spark.sparkContext._jvm.org.apache.hadoop.fs, spark.sparkContext._jsc.hadoopConfiguration()
+    here, there = fs.Path(path), fs.Path(path.rstrip("/") + ".bak")
+    disk = here.getFileSystem(conf)
+    if disk.exists(here):
+        disk.delete(there, True)
+        fs.FileUtil.copy(disk, here, disk, there, False, conf)

@@ -7,6 +7,8 @@ page is reported as blocked.
 
 from __future__ import annotations
 
+import random
+import time
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -26,8 +28,8 @@ class _Chunk(InputPartition):
 
 
 class _Reader(DataSourceReader):
-    def __init__(self, urls: list[str], get: Callable, tries: int, size: int):
-        self.urls, self.get, self.tries, self.size = urls, get, tries, size
+    def __init__(self, urls: list[str], get: Callable, tries: int, size: int, pause: float):
+        self.urls, self.get, self.tries, self.size, self.pause = urls, get, tries, size, pause
 
     def partitions(self) -> list[_Chunk]:
         return [_Chunk(self.urls[i : i + self.size]) for i in range(0, len(self.urls), self.size)] or [_Chunk([])]
@@ -35,6 +37,8 @@ class _Reader(DataSourceReader):
     def read(self, partition: _Chunk) -> Iterator[tuple]:
         for url in partition.urls:
             for k in range(self.tries):
+                if self.pause:
+                    time.sleep(max(0.2, self.pause) * random.uniform(0.7, 1.3))
                 try:
                     status, kind, body = self.get(url)
                 except OSError:
@@ -44,10 +48,11 @@ class _Reader(DataSourceReader):
                     break
 
 
-def read_pages(spark: SparkSession, urls: list[str], get: Callable[[str], tuple[int, str, str]], tries: int = 2, chunk: int = 50) -> DataFrame:
+def read_pages(spark: SparkSession, urls: list[str], get: Callable[[str], tuple[int, str, str]], tries: int = 2, chunk: int = 50, pause: float = 0.0) -> DataFrame:
     """Fetch URLs in parallel by a transport: a function of a URL to (status, content type, body).
 
-    The transport is shipped to the workers; errors, 429 and 5xx are tried again.
+    The transport is shipped to the workers; errors, 429 and 5xx are tried again. pause:
+    seconds before each request, more or less.
     """
 
     class PageSource(DataSource):  # local, so that it takes the transport along
@@ -59,7 +64,7 @@ def read_pages(spark: SparkSession, urls: list[str], get: Callable[[str], tuple[
             return SCHEMA
 
         def reader(self, schema) -> _Reader:
-            return _Reader(urls, get, tries, chunk)
+            return _Reader(urls, get, tries, chunk, pause)
 
     spark.dataSource.register(PageSource)
     return spark.read.format("outlet_pages").load()
@@ -118,3 +123,29 @@ def wiki_match(banks: DataFrame, wiki: DataFrame, least: float = 0.6) -> DataFra
     hits = b.join(w, "token").groupBy("bank", "n", "name", "url").agg(F.count_distinct("token").alias("k"))
     hits = hits.withColumn("share", F.col("k") / F.col("n")).where(F.col("share") >= least)
     return hits.groupBy("bank").agg(F.max_by(F.struct("name", "url", "share"), F.struct("share", "name")).alias("m")).select("bank", "m.*")
+
+
+def website_choice(candidates: DataFrame, key: str = "bank") -> DataFrame:
+    """Candidates (key, rank, url, source, status) to one site a bank: (key, url, source, verified).
+
+    The first in their order that answers below 400 and is no aggregator; where none
+    does, the first, unverified.
+    """
+    from outletry.functions import url as U
+
+    live = (F.col("status") < 400) & ~U.is_aggregator(U.domain_of(F.col("url")))
+    c = candidates.withColumn("dead", ~F.coalesce(live, F.lit(False)))
+    best = c.groupBy(key).agg(F.min_by(F.struct("url", "source", "dead"), F.struct("dead", "rank")).alias("b"))
+    return best.select(key, "b.url", "b.source", (~F.col("b.dead")).alias("verified"))
+
+
+def website_candidates(hints: DataFrame, results: DataFrame, wiki: DataFrame, key: str = "bank", least: float = 0.3, most: int = 3) -> DataFrame:
+    """(key, rank, url, source): the hint first, then good search results in their order, the list's page only if there is none.
+
+    hints: key, url; results: key, engine_rank, rank, url, source, score; wiki: key, url.
+    """
+    by = Window.partitionBy(key).orderBy("engine_rank", "rank", "url")
+    good = results.where(F.col("score") >= least).withColumn("n", F.row_number().over(by)).where(F.col("n") <= most)
+    rows = hints.where("url is not null").select(key, F.lit(0).alias("wave"), F.lit(0).alias("n"), "url", F.lit("hint").alias("source")).unionByName(good.select(key, F.lit(1).alias("wave"), "n", "url", "source"))
+    spare = wiki.join(rows.select(key).distinct(), key, "left_anti").select(key, F.lit(2).alias("wave"), F.lit(0).alias("n"), "url", F.lit("list").alias("source"))
+    return rows.unionByName(spare).select(key, (F.row_number().over(Window.partitionBy(key).orderBy("wave", "n", "url")) - 1).alias("rank"), "url", "source")

@@ -99,6 +99,25 @@ def test_seeds(spark):
     assert (r["bank"], r["seed_pages"], r["constituents"], r["registry"]) == ("A Bank", ["http://a/1", "http://a/2"], [], True)
 
 
+def test_region_words_and_repeated_halves(spark):
+    a = spark.createDataFrame([("k", "uttara", "Uttara", "1", "")], "rkey string, bkey string, name string, fi_branch_id string, routing string")
+    b = spark.createDataFrame([("k", "north utara", "x", "011111111")], "rkey string, bkey string, name string, routing string")
+    assert [r["routing"] for r in registry.merge_offices(a, b).collect()] == ["011111111"]
+
+
+def test_websites(spark, tmp_path):
+    hints = spark.createDataFrame([("a", "http://a.com")], "bank string, url string")
+    res = spark.createDataFrame([("a", 0, 0, "http://x.com", "ddg", 0.5), ("b", 0, 0, "http://facebook.com/b", "ddg", 0.9), ("b", 1, 0, "http://b.com", "bing", 0.4), ("c", 0, 0, "http://no.com", "ddg", 0.1)], "bank string, engine_rank int, rank int, url string, source string, score double")
+    c = fetch.website_candidates(hints, res, spark.createDataFrame([("c", "http://c.org"), ("b", "http://never")], "bank string, url string"))
+    got = {(r["bank"], r["rank"]): r["url"] for r in c.collect()}
+    assert got == {("a", 0): "http://a.com", ("a", 1): "http://x.com", ("b", 0): "http://facebook.com/b", ("b", 1): "http://b.com", ("c", 0): "http://c.org"}
+    status = c.withColumn("status", F.when(F.col("bank") == "c", 503).otherwise(200))
+    assert {r["bank"]: (r["url"], r["verified"]) for r in fetch.website_choice(status).collect()} == {"a": ("http://a.com", True), "b": ("http://b.com", True), "c": ("http://c.org", False)}
+    (tmp_path / "x.json").write_text("1")
+    store.backup(spark, str(tmp_path / "x.json"))
+    assert (tmp_path / "x.json.bak").read_text() == "1"
+
+
 def test_no_clobber_and_changed(spark):
     old = spark.createDataFrame([("a", "success", 1), ("b", "failed", 1), ("c", "success", 1)], "k string, status string, v int")
     new = spark.createDataFrame([("a", "failed", 2), ("b", "failed", 2), ("c", "success", 2), ("d", "failed", 2)], "k string, status string, v int")
