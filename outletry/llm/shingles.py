@@ -4,7 +4,8 @@ A document is the set of its five-word shingles. In each of several independent
 runs, a random hash of the shingles chooses about `draw` of a set's own; two sets
 that choose the same one go down the same path. Paths that more than `leaf` sets share
 are split again by the next level's choice, so that sets which only share a common
-passage part while similar ones stay together. In the small buckets that are left
+passage part while similar ones stay together; enough is chosen that a similar pair
+comes through all levels. In the buckets that are left, whatever their size,
 all pairs are compared by fixed-size sketches, with a margin of five standard
 deviations, which links what may be similar. Of each group so linked the whole
 sets are then fetched once and every pair is verified exactly, in blocks.
@@ -15,6 +16,7 @@ Equal sets are one class throughout, so copies are never expanded into pairs.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,22 +35,27 @@ from .components import components
 class Join:
     """words: of a shingle. least: Jaccard similarity of a link. draw: expected shingles a
     set chooses in a run and level, so that a pair at `least` stays together with a
-    chance of 1 - exp(-draw * least) at least. runs: the chance that all miss a pair on
-    the first level is exp(-draw * least) ** runs, below 1e-5 as set. levels, leaf: of
-    splitting. margin: the sketch's estimate from which a pair may be similar. chunk,
-    chunk_shingles: rows and shingles of a large group in a task."""
+    chance of 1 - exp(-draw * least) at least. levels, leaf: of splitting. runs: so many
+    that all miss a pair with a chance of at most `missed`, below 1e-5 as set, also where
+    every level is needed. margin: the sketch's estimate from which a pair may be similar.
+    chunk, chunk_shingles: rows and shingles of a large group in a task."""
 
     words: int = 5
     least: float = 0.8
-    draw: float = 1.25
-    runs: int = 12
-    levels: int = 3
+    draw: float = 3.0
+    runs: int = 7
+    levels: int = 2
     leaf: int = 48
     margin: float = 0.5
     chunk: int = 1500
     chunk_shingles: int = 2_000_000
     seed: int = 20
 
+    @property
+    def missed(self) -> float:
+        """The most that the chance of a pair at `least` can be to part in every run, on any level."""
+        return (1 - (1 - math.exp(-self.draw * self.least)) ** self.levels) ** self.runs
+
 
 BINS = 64  # of a sketch
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import plain
 
 from outletry.llm import shingles
@@ -36,6 +37,32 @@ def test_equals_brute_force(spark, prose):
         assert got == want
 
 
+def test_similar_pairs_come_through_all_levels():
+    at, r = shingles.Join(), np.random.default_rng(3)
+    assert at.missed < 1e-5
+    lost = 0
+    for _ in range(2000):
+        x = r.integers(0, 1 << 64, 180, np.uint64)
+        a, b = shingles.choices(np.sort(x[:144]), at), shingles.choices(np.sort(x), at)  # at 0.8
+        lost += not any(all(set(a[k + m]) & set(b[k + m]) for m in range(at.levels)) for k in range(0, at.runs * at.levels, at.levels))
+    assert lost == 0
+
+
+def test_many_large_groups_of_different_near_copies(spark, prose):
+    texts, want = {}, {}
+    for g in range(40):
+        base = prose(9000 + g, 104).split()
+        group = {}
+        for k in range(70):
+            w = list(base)
+            w[random.Random(g * 100 + k).randrange(5, 99)] = f"edit{k}"
+            group[g * 1000 + k] = " ".join(w)
+        texts |= group
+        want |= plain.join(group)
+    d = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    assert {x["doc_id"]: (x["class_id"], x["n_links"]) for x in shingles.join(d).collect()} == want
+
+
 def test_one_of_each_class_stays(spark, prose):
     texts = corpus(prose)
     d = spark.createDataFrame([(i, t, "x") for i, t in texts.items()], "doc_id long, text string, source string")
