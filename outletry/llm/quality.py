@@ -6,7 +6,9 @@ histograms of every language over the whole corpus (documents that pass the base
 rules and the length guards, each with weight one, so neither long documents nor
 large ones steer them). A document is rejected when the Jensen-Shannon distance
 to the nearest reference is over a limit, for a histogram whose length guard it
-meets.
+meets. Most words are no common ones, in any text, so word histograms are never
+far apart: their distance counts in parts of the distance that a text without any
+common word has to the same reference.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANKS, stage, word_array
+from .common import BLANKS, if_small, stage, word_array
 
 # The commonest function words of four languages.
 COMMON_WORDS = (
@@ -33,9 +35,11 @@ CLASSES = ("lower", "upper", "other_letter", "digit", "blank", "stop", "symbol",
 class Limits:
     """Parameters of the rules.
 
-    min_words, max_repeat_percent: the base rules. max_class_distance,
-    max_word_distance: Jensen-Shannon distances (base 2, 0 to 1) beyond which a
-    document goes. min_chars, min_hist_words: lengths under which a histogram is
+    min_words, max_repeat_percent: the base rules. max_class_distance: Jensen-Shannon
+    distance (base 2, 0 to 1) beyond which a document goes. max_word_distance: the same,
+    as part of the distance of a text without common words. min_common: share of common
+    words that a language's reference needs to judge words by; documents of other
+    languages, or of those without a reference, aren't judged by words. min_chars, min_hist_words: lengths under which a histogram is
     too thin to judge by, so it isn't used. max_languages, min_language_docs: the
     largest languages get a reference, each from so many documents at least.
     """
@@ -43,7 +47,8 @@ class Limits:
     min_words: int = 50
     max_repeat_percent: int = 50
     max_class_distance: float = 0.25
-    max_word_distance: float = 0.55
+    max_word_distance: float = 0.85
+    min_common: float = 0.05
     min_chars: int = 200
     min_hist_words: int = 100
     max_languages: int = 64
@@ -103,18 +108,27 @@ def js_distance(p: Column, q: Column) -> Column:
     return F.sqrt(F.greatest(F.aggregate(terms, F.lit(0.0), lambda s, x: s + x), F.lit(0.0)) / 2)
 
 
-def _references(measured: DataFrame, hist: str, size: int, enough: Column, at: Limits) -> list[list[float]]:
-    """The mean histogram of each of the largest languages: max_languages short rows at most."""
-    means = [F.avg(F.get(hist, F.lit(i))).alias(f"m{i}") for i in range(size)]
-    rows = measured.where(enough).groupBy("lang").agg(F.count("*").alias("n"), *means).where(F.col("n") >= at.min_language_docs)
-    return [[float(r[f"m{i}"]) for i in range(size)] for r in rows.orderBy(F.desc("n"), "lang").limit(at.max_languages).collect()]
+def _references(measured: DataFrame, hist: str, size: int, enough: Column, at: Limits) -> DataFrame:
+    """Staged (lang, n, own): the mean histogram of each of the largest languages."""
+    means = F.array(*[F.avg(F.get(hist, F.lit(i))) for i in range(size)])
+    rows = measured.where(enough).groupBy("lang").agg(F.count("*").alias("n"), means.alias("own")).where(F.col("n") >= at.min_language_docs)
+    if hist == "word_hist":
+        rows = rows.where(F.get("own", F.lit(size - 1)) <= 1 - at.min_common)
+    return stage(rows.orderBy(F.desc("n"), "lang").limit(at.max_languages), "quality-references")
 
 
-def _nearest(hist: str, refs: list[list[float]]) -> Column:
-    if not refs:
-        return F.lit(None).cast("double")
-    literal = F.from_json(F.lit(str(refs)), "array<array<double>>")
-    return F.array_min(F.transform(literal, lambda r: js_distance(F.col(hist), r)))
+def _with_distance(measured: DataFrame, hist: str, size: int, refs: DataFrame, at: Limits) -> DataFrame:
+    """`measured` with the distance to the nearest of the largest languages' references and the own language's."""
+    none = F.array(*[F.lit(0.0)] * (size - 1), F.lit(1.0))
+    words = hist == "word_hist"
+    far = lambda r: js_distance(F.col(hist), r) / js_distance(none, r) if words else js_distance(F.col(hist), r)
+    largest = [[float(x) for x in row["own"]] for row in refs.orderBy(F.desc("n"), "lang").limit(at.max_languages).collect()]
+    near = F.array_min(F.transform(F.from_json(F.lit(str(largest)), "array<array<double>>"), far))
+    joined = measured.join(if_small(refs.select("lang", "own"), 10_000), "lang", "left")
+    distance = F.least(near, F.when(F.col("own").isNotNull(), far(F.col("own"))))
+    if words:
+        distance = F.when(F.col("own").isNotNull(), distance)
+    return joined.withColumn(hist.replace("hist", "distance"), distance).drop("own")
 
 
 def judge(docs: DataFrame, at: Limits = Limits(), carry: bool = False) -> DataFrame:
@@ -124,7 +138,7 @@ def judge(docs: DataFrame, at: Limits = Limits(), carry: bool = False) -> DataFr
     null ``lang`` is a language of its own. Repeated rows are judged alike, each
     for itself, so ties don't matter; extra columns are ignored. An empty table,
     or one with no document fit for a reference, has null distances, which reject
-    nothing.
+    nothing; so has word_distance where the language's own words can't be judged.
     """
     m = stage(_measured(docs, carry), "quality")
     failed = (F.col("n_words") < at.min_words) | (100 * F.col("n_repeat_words") > at.max_repeat_percent * F.col("n_words"))
@@ -132,13 +146,12 @@ def judge(docs: DataFrame, at: Limits = Limits(), carry: bool = False) -> DataFr
     guard = {"class_hist": F.col("n_chars") >= at.min_chars, "word_hist": F.col("n_words") >= at.min_hist_words}
     size = {"class_hist": len(CLASSES), "word_hist": len(WORDS) + 1}
     limit = {"class_hist": at.max_class_distance, "word_hist": at.max_word_distance}
-    refs = {}
     for h in guard:
-        fit = guard[h] & ~F.col("base_failed")
-        first = _references(m, h, size[h], fit, at)
+        fit, d = guard[h] & ~F.col("base_failed"), h.replace("hist", "distance")
+        first = _with_distance(m, h, size[h], _references(m, h, size[h], fit, at), at)
         # Once more without what is far from every first mean, so that junk doesn't pull the references.
-        refs[h] = _references(m, h, size[h], fit & (_nearest(h, first) <= limit[h]), at) if first else []
-    m = m.withColumns({h.replace("hist", "distance"): F.when(guard[h], _nearest(h, refs[h])) for h in guard})
+        refs = _references(first, h, size[h], fit & (F.coalesce(d, F.lit(0.0)) <= limit[h]), at)
+        m = _with_distance(m, h, size[h], refs, at).withColumn(d, F.when(guard[h], F.col(d)))
     far = (F.coalesce("class_distance", F.lit(0.0)) > at.max_class_distance) | (F.coalesce("word_distance", F.lit(0.0)) > at.max_word_distance)
     return m.withColumn("kept", ~F.col("base_failed") & ~far)
 

@@ -28,6 +28,25 @@ def test_symbol_junk_goes_and_clean_stays(spark, prose):
     assert out.columns == d.columns and {x["doc_id"] for x in out.collect()} == kept
 
 
+def prose_of(words, seed, n, share=0.2):
+    """Invented words with so many common ones of a language among them."""
+    r = random.Random(seed)
+    return " ".join(r.choice(words) if r.random() < share else "".join(r.choice("abcdefghij") for _ in range(6)) for _ in range(n))
+
+
+ENGLISH, GERMAN = "the of and to in a is that for it".split(), "der die und den von zu das mit sich des".split()
+
+
+def test_long_texts_without_common_words_go_and_prose_stays(spark):
+    rows = [(i, prose_of(ENGLISH, i, 300), "en") for i in range(60)] + [(100 + i, prose_of(GERMAN, i, 300), "de") for i in range(40)]
+    rows += [(200 + i, prose_of(ENGLISH, 50 + i, 300, 0), "en") for i in range(6)] + [(210 + i, prose_of(GERMAN, 90 + i, 300, 0.01), "de") for i in range(4)]
+    rows += [(300 + i, prose_of([], 70 + i, 300, 0), "pl") for i in range(10)]  # its common words aren't known, so it isn't judged by them
+    rows += [(400, prose_of([], 99, 300, 0), "cs")]  # nor is a language without a reference
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = {x["doc_id"] for x in quality.judge(d).where("kept").collect()}
+    assert kept == {i for i, *_ in rows if i < 200 or i >= 300}
+
+
 def test_js_distance(spark):
     d = spark.sql("select array(0.5D, 0.5D) p, array(0.5D, 0.5D) q, array(1.0D, 0.0D) a, array(0.0D, 1.0D) b")
     x = d.select(quality.js_distance(F.col("p"), F.col("q")).alias("same"), quality.js_distance(F.col("a"), F.col("b")).alias("far")).first()
