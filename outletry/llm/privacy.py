@@ -96,7 +96,11 @@ def base_spans(text: Column) -> Column:
 
 
 def _occurrences(text: Column, spans: Column, at: Bootstrap) -> Column:
-    """Tokens that look like identifiers: (start, end, pattern, instance, known)."""
+    """Tokens that look like identifiers: (start, end, pattern, instance, known).
+
+    pattern: the two words before it; empty where there are none, so that the token is
+    marked if its identifier is found elsewhere but says nothing in the graph.
+    """
     tokens = _matches(text, _TOKEN, text.rlike("[0-9@]"))
 
     def one(x: Column) -> Column:
@@ -106,16 +110,17 @@ def _occurrences(text: Column, spans: Column, at: Bootstrap) -> Column:
         return F.struct(begin.alias("start"), (begin + F.length(core)).alias("end"), F.regexp_replace(words, r"[\x20\x09-\x0D]+", " ").alias("pattern"), F.lower(core).alias("instance"), x["found"].alias("found"))
 
     likely = lambda x: (F.length(_digits(x["instance"])) >= at.min_digits) | F.contains(x["instance"], F.lit("@"))
-    shaped = F.filter(F.transform(tokens, one), lambda x: (x["pattern"] != "") & (x["start"] < x["end"]))
+    shaped = F.filter(F.transform(tokens, one), lambda x: x["start"] < x["end"])
 
     def mark(x: Column) -> Column:
         # A token where a base span begins stands for that span; one further inside it is no instance.
         over = F.get(F.filter(spans, lambda s: (s["start"] < x["end"]) & (x["start"] < s["end"])), 0)
         seed = F.substring(text, (over["start"] + 1).cast("int"), (over["end"] - over["start"]).cast("int"))
         instance = F.when(over.isNull(), x["instance"]).when(x["start"] <= over["start"], F.lower(seed))
-        return F.struct(x["start"], x["end"], x["pattern"], instance.alias("instance"), over.isNotNull().alias("known"))
+        pattern = F.when(x["pattern"].rlike("[0-9@]"), "").otherwise(x["pattern"])
+        return F.struct(x["start"], x["end"], pattern.alias("pattern"), instance.alias("instance"), over.isNotNull().alias("known"))
 
-    fit = lambda x: x["instance"].isNotNull() & (x["known"] | likely(x)) & ~x["pattern"].rlike("[0-9@]")
+    fit = lambda x: x["instance"].isNotNull() & F.when(x["known"], x["pattern"] != "").otherwise(likely(x))
     return F.filter(F.transform(shaped, mark), fit)
 
 
@@ -124,7 +129,7 @@ def _discovered(occurrences: DataFrame, at: Bootstrap) -> DataFrame:
 
     The graph has each (pattern, instance) once, counted before it is shuffled.
     """
-    graph = stage(occurrences.groupBy("pattern", "instance").agg(F.max("known").alias("seed")), "privacy-graph")
+    graph = stage(occurrences.where("pattern != ''").groupBy("pattern", "instance").agg(F.max("known").alias("seed")), "privacy-graph")
     known = graph.where("seed").select("instance").distinct()
     for _ in range(at.rounds):
         edges = graph.select("pattern", "instance").join(known.withColumn("known", F.lit(1)), "instance", "left")

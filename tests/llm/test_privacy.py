@@ -32,6 +32,17 @@ def test_contexts_discover_unseen_identifiers(spark):
     assert got[100] == ("", "")
 
 
+def test_found_identifiers_are_marked_in_any_place(spark):
+    rows = [(i, f"please call me on 555-01{i:02d}-{i} now, or call me on +1 555 010 {1000 + i} instead") for i in range(8)]
+    one, two = "555-0101-1", "555-0102-2"
+    rows += [(100, f"{one} first"), (101, f"ID {one}"), (102, f"on the list {one} or {two}"), (103, f"{'x' * 80} y {one}"), (104, "777-0101-1 first")]
+    got = found(spark.createDataFrame(rows, "doc_id long, text string"))
+    for i, text in rows[8:12]:
+        spans = {f"context:{text.index(x)}:{text.index(x) + len(x)}" for x in (one, two) if x in text}
+        assert set(got[i][1].split(",")) == spans
+    assert got[104] == ("", "")
+
+
 def test_redaction(spark):
     rows = [(1, "mail a@b.co or +1 (838) 555-1234!", 33), (2, None, 0), (3, "plain é", 7)]
     d = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
