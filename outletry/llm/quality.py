@@ -40,8 +40,9 @@ class Limits:
     as part of the distance of a text without common words. min_common: share of common
     words that a language's reference needs to judge words by; documents of other
     languages, or of those without a reference, aren't judged by words. min_chars, min_hist_words: lengths under which a histogram is
-    too thin to judge by, so it isn't used. max_languages, min_language_docs: the
-    largest languages get a reference, each from so many documents at least.
+    too thin to judge by, so it isn't used. min_language_docs: every language of so
+    many documents gets a reference, which its own are compared with. max_languages:
+    the largest, whose references all documents are compared with besides.
     """
 
     min_words: int = 50
@@ -109,12 +110,12 @@ def js_distance(p: Column, q: Column) -> Column:
 
 
 def _references(measured: DataFrame, hist: str, size: int, enough: Column, at: Limits) -> DataFrame:
-    """Staged (lang, n, own): the mean histogram of each of the largest languages."""
+    """Staged (lang, n, own): the mean histogram of every language with enough documents."""
     means = F.array(*[F.avg(F.get(hist, F.lit(i))) for i in range(size)])
     rows = measured.where(enough).groupBy("lang").agg(F.count("*").alias("n"), means.alias("own")).where(F.col("n") >= at.min_language_docs)
     if hist == "word_hist":
         rows = rows.where(F.get("own", F.lit(size - 1)) <= 1 - at.min_common)
-    return stage(rows.orderBy(F.desc("n"), "lang").limit(at.max_languages), "quality-references")
+    return stage(rows, "quality-references")
 
 
 def _with_distance(measured: DataFrame, hist: str, size: int, refs: DataFrame, at: Limits) -> DataFrame:

@@ -47,6 +47,13 @@ def test_long_texts_without_common_words_go_and_prose_stays(spark):
     assert kept == {i for i, *_ in rows if i < 200 or i >= 300}
 
 
+def test_a_language_beyond_the_largest_is_compared_with_its_own(spark):
+    cyrillic = lambda seed: prose_of([], seed, 200, 0).translate({ord("a") + k: ord("\u0430") + k for k in range(10)})
+    rows = [(i, prose_of(ENGLISH, i, 200), "en") for i in range(30)] + [(100 + i, cyrillic(i), "ru") for i in range(10)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert quality.judge(d, quality.Limits(max_languages=1)).where("kept").count() == 40
+
+
 def test_js_distance(spark):
     d = spark.sql("select array(0.5D, 0.5D) p, array(0.5D, 0.5D) q, array(1.0D, 0.0D) a, array(0.0D, 1.0D) b")
     x = d.select(quality.js_distance(F.col("p"), F.col("q")).alias("same"), quality.js_distance(F.col("a"), F.col("b")).alias("far")).first()
