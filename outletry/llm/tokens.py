@@ -34,15 +34,18 @@ class Encoder:
     """Little-endian unsigned 32-bit ids of texts, as bytes.
 
     words: how many words it remembers, so that its memory has a bound; further ones
-    are encoded each time. Strings of special tokens in a text are ordinary text.
+    are encoded each time. A text that holds an added token, such as ``<|endoftext|>``,
+    goes through the tokenizer whole, which gives that token's id; with `special_as_text`
+    such strings are ordinary text.
     """
 
-    def __init__(self, name: str = "byte_bpe_50k.json", words: int = 400_000):
+    def __init__(self, name: str = "byte_bpe_50k.json", words: int = 400_000, special_as_text: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary(name))
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = special_as_text
+        self.added = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
         self.words, self.known = words, {}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
@@ -53,7 +56,7 @@ class Encoder:
             plain, pattern = not any(c in text for c in "\x1c\x1d\x1e\x1f"), _ASCII
         else:
             plain, pattern = not _ODD.search(text), _WORD
-        if not plain:
+        if not plain or any(t in text for t in self.added):
             return self._whole([text])[0]
         found = pattern.findall(text)
         got = list(map(self.known.get, found))

@@ -14,7 +14,6 @@ from outletry.llm.common import fresh_path
 @pytest.fixture(scope="module")
 def library():
     t = Tokenizer.from_file(tokens.vocabulary())
-    t.encode_special_tokens = True
     return lambda text: t.encode(text, add_special_tokens=False).ids
 
 
@@ -28,12 +27,14 @@ def test_encoder_equals_the_library(library):
     for k in range(4000):
         text = "".join(r.choice(letters) if k % 2 else chr(r.randrange(0x250)) for _ in range(r.choice([1, 2, 3, 8, 25])))
         assert ids(e(text)) == library(text), text
-    assert ids(e("a <|endoftext|> b")) == library("a <|endoftext|> b")
+    for text in ("a <|endoftext|> b", "<|endoftext|>", "é<|endoftext|><|endoftext|>\n", "<|endoftext", "a<|endoftext|>\x1c2"):
+        assert ids(e(text)) == library(text), text
+    assert 50256 in ids(e("a <|endoftext|> b")) and 50256 not in ids(tokens.Encoder(special_as_text=True)("a <|endoftext|> b"))
     assert len(e.known) <= 600
 
 
 def test_files_round_trip_and_random_access(spark, prose, library):
-    docs = {i: prose(i, 30 + i % 400) for i in range(300)} | {300: "", 301: "x" * 400_000}
+    docs = {i: prose(i, 30 + i % 400) for i in range(300)} | {300: "", 301: "x" * 400_000, 302: "end <|endoftext|> of"}
     d = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(3)
     path = fresh_path(spark, "test")
     manifest = token_files.write_tokens(d, path)
@@ -86,7 +87,7 @@ def test_cutting_stock_meets_the_demand():
 
 
 def test_packing(spark, prose, library):
-    docs = {i: prose(i, 20 + 37 * i % 900) for i in range(150)} | {150: "", 151: "y " * 9000}
+    docs = {i: prose(i, 20 + 37 * i % 900) for i in range(150)} | {150: "", 151: "y " * 9000, 152: "<|endoftext|>"}
     out = packing.pack(spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(3), with_ids=True).toPandas()
     for i, g in out.sort_values("start").groupby("doc_id"):
         assert [t for x in g["ids"] for t in x] == [*library(docs[i]), 0]
