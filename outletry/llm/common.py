@@ -104,6 +104,36 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
+def let(x: Column, then) -> Column:
+    """``then(x)`` with x evaluated once, however often `then` names it, also inside lambdas."""
+    return F.get(F.transform(F.array(x), then), F.lit(0))
+
+
+def scanned(items: Column, start: Column, step, kind: str, chunk: int = 128) -> Column:
+    """Runs ``step(state, item) -> (state, out)`` over an array; gives the array of outs, of SQL type `kind`.
+
+    Arrays grow by copying, so a plain aggregate takes a time in proportion to the square of
+    their length. Here chunks are run each for itself and appended whole, which stays
+    in proportion for millions of items.
+    """
+    none = F.array().cast(f"array<{kind}>")
+
+    def one(a: Column, x: Column) -> Column:
+        state, out = step(a["s"], x)
+        return F.struct(state.alias("s"), F.concat(a["out"], F.array(out)).alias("out"))
+
+    def all_of(it: Column) -> Column:
+        def many(a: Column, k: Column) -> Column:
+            inner = F.aggregate(F.slice(it, k * chunk + 1, F.lit(chunk)), F.struct(a["s"].alias("s"), none.alias("out")), one)
+            return let(inner, lambda i: F.struct(i["s"].alias("s"), F.concat(a["out"], F.array(i["out"])).alias("out")))
+
+        empty = F.struct(start.alias("s"), F.array().cast(f"array<array<{kind}>>").alias("out"))
+        chunks = F.sequence(F.lit(0), F.floor((F.size(it) - 1) / chunk).cast("int"))
+        return F.when(F.size(it) > 0, F.flatten(F.aggregate(chunks, empty, many)["out"])).otherwise(none)
+
+    return let(items, all_of)
+
+
 def rows_of(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
     """A few driver-side rows as a DataFrame, without a Python worker."""
     import json

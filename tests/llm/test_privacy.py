@@ -1,4 +1,5 @@
 import random
+import time
 
 import plain
 from pyspark.sql import functions as F
@@ -20,6 +21,44 @@ def test_base_spans_equal_plain_ones(spark):
     assert {i: b for i, (b, _) in got.items()} == {i: ",".join(plain.base_spans(t)) for i, t in enumerate(texts)}
 
 
+def plain_over(tokens, spans):
+    """Each token's first overlapping span, by comparing all."""
+    return [next((s for s in sorted(spans) if s[0] < b and a < s[2]), None) for a, b in tokens]
+
+
+def test_tokens_find_their_spans(spark):
+    r = random.Random(6)
+    rows = []
+    for i in range(300):
+        at, tokens, spans = 0, [], []
+        for _ in range(r.randrange(6)):
+            at += r.randrange(1, 6)
+            tokens.append((at, at := at + r.randrange(1, 9)))
+        for rank in range(4):
+            at = 0
+            for _ in range(r.randrange(4)):
+                at += r.randrange(0, 7)
+                spans.append((at, rank, at := at + r.randrange(1, 12), f"{rank}:{at}"))
+        rows.append((i, tokens, sorted(spans)))
+    d = spark.createDataFrame(rows, "id long, t array<struct<start:long,end:long>>, s array<struct<start:long,rank:int,end:long,found:string>>")
+    for x in d.select("id", privacy._first_over(F.col("t"), F.col("s")).alias("o")).collect():
+        _, tokens, spans = rows[x["id"]]
+        assert [tuple(o) if o else None for o in x["o"]] == plain_over(tokens, spans)
+
+
+def test_a_text_of_many_addresses_takes_linear_time(spark):
+    def took(n):
+        d = spark.createDataFrame([(1, " ".join(f"user{i}@example{i % 7}.com 10.0.{i % 256}.1" for i in range(n)))], "doc_id long, text string").cache()
+        assert d.count() == 1
+        began = time.perf_counter()
+        (x,) = d.select(F.size(privacy.base_spans(F.col("text"))).alias("n"), F.size(privacy._occurrences(F.col("text"), privacy._base_found(F.col("text")), privacy.Bootstrap())).alias("m")).collect()
+        assert x["n"] == 2 * n and x["m"] == 0  # no words stand before them
+        return time.perf_counter() - began
+
+    took(1000)
+    assert took(24000) < 20 * took(3000)  # 64 times, if it were quadratic
+
+
 def test_contexts_discover_unseen_identifiers(spark):
     rows = [(i, f"please call me on 555-01{i:02d}-{i} now, or call me on +1 555 010 {1000 + i} instead") for i in range(8)]
     rows += [(100, "nothing to see in room 12345 here")]
@@ -45,8 +84,12 @@ def test_found_identifiers_are_marked_in_any_place(spark):
 
 def test_redaction(spark):
     rows = [(1, "mail a@b.co or +1 (838) 555-1234!", 33), (2, None, 0), (3, "plain é", 7)]
+    wide = [("é😀x " * 700, "a@b.co"), (" " + "y" * 1023, "1.2.3.4"), (" ", "z@b.co"), (" +", " "), ("", "4111 1111 1111 1111"), ("\n" * 2500, "")]
+    rows += [(4, "".join(a + b for a, b in wide), 0)]
     d = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
     got = {x["doc_id"]: (x["text"], x["n_chars"]) for x in privacy.redact(d).collect()}
+    text = "".join(a + {"a": "<EMAIL>", "1": "<IP>", "z": "<EMAIL>", "4": "<CARD>"}.get(b[:1], b) for a, b in wide)
+    assert got.pop(4) == (text, len(text))
     assert got == {1: ("mail <EMAIL> or <PHONE>!", 24), 2: (None, 0), 3: ("plain é", 7)}
 
 
