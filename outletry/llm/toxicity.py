@@ -1,12 +1,21 @@
 """Toxicity by multiple-instance learning (operator 2).
 
-A document is a bag of sentences. Each sentence has a logistic score over its
-words; the document's is their noisy-or, 1 - prod(1 - p), which is what the labels
-of documents train. So the model also tells which sentences offend.
+A document is a bag of sentences. Each sentence has a logistic score p over its
+words; the document's is their noisy-or, 1 - prod(1 - p), which is what the labels of
+documents train. So the model also tells which sentences offend. When documents are
+scored, a sentence counts by what its p has over a floor: as r = (p - floor) / (1 - floor),
+or not at all below it, so that no number of sentences without evidence makes a
+document toxic. One leak a document, the best p up to the floor, keeps documents
+without evidence in order:
+
+    score = 1 - (1 - min(max p, floor)) * prod(1 - r)
+
+which for one sentence is its p.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from array import array
 from collections.abc import Iterator
@@ -27,12 +36,16 @@ STEMS = (5, 7)
 @dataclass(frozen=True)
 class Training:
     """max_positive, max_negative: the bounded sample of labelled rows that the model is
-    fitted on, chosen by a hash of the id. min_docs: words of fewer sampled documents
-    have no weight. steps, rate, l1: of the fit."""
+    fitted on, chosen by a hash of the id among documents of at most `max_chars` code
+    points, so the driver's memory has a bound. min_docs: words of fewer sampled documents
+    have no weight. floor: a sentence's score from which it counts. steps, rate, l1:
+    of the fit."""
 
     max_positive: int = 2000
     max_negative: int = 3000
+    max_chars: int = 40_000
     min_docs: int = 8
+    floor: float = 0.3
     steps: int = 250
     rate: float = 0.15
     l1: float = 3e-4
@@ -45,10 +58,10 @@ def features(word: str) -> list[str]:
 
 
 class Model:
-    """words: the weights of features, bias: of a sentence without any."""
+    """words: the weights of features, bias: of a sentence without any, floor: see above."""
 
-    def __init__(self, words: dict[str, float], bias: float, remember: int = 300_000):
-        self.words, self.bias, self.remember, self.known = words, bias, remember, {}
+    def __init__(self, words: dict[str, float], bias: float, floor: float = 0.3, remember: int = 300_000):
+        self.words, self.bias, self.floor, self.remember, self.known = words, bias, floor, remember, {}
 
     def weight(self, word: str) -> float:
         """What a word adds to its sentence; so many words at most are remembered."""
@@ -69,15 +82,18 @@ class Model:
     def score(self, text: str) -> tuple[float, list[tuple[int, int, float]]]:
         """The document's score, and its offending sentences with theirs.
 
-        A sentence without known words adds the same small amount each; a text without
-        sentences scores as one such sentence.
+        A text without sentences scores as one sentence without known words.
         """
-        log_not, worst = 0.0, []
-        for start, end, z in self.sentences(text) or [(0, 0, self.bias)]:
-            log_not -= float(np.logaddexp(0.0, z))
-            if z >= 0:
-                worst.append((start, end, 1 / (1 + float(np.exp(-z)))))
-        return -float(np.expm1(log_not)), worst
+        log_not, best, worst, counts = 0.0, self.bias, [], math.log(self.floor / (1 - self.floor))
+        for start, end, z in self.sentences(text):
+            best = max(best, z)
+            if z > counts:
+                p = 1 / (1 + math.exp(-z)) if z < 700 else 1.0
+                log_not += math.log(max((1 - p) / (1 - self.floor), 1e-300))
+                if z >= 0:
+                    worst.append((start, end, p))
+        leak = min(self.floor, 1 / (1 + math.exp(-max(best, -700.0))))
+        return min(1.0, max(0.0, -math.expm1(log_not + math.log1p(-leak)))), worst
 
 
 def held_out(doc_id) -> "F.Column":
@@ -88,14 +104,18 @@ def held_out(doc_id) -> "F.Column":
 def sample(docs: DataFrame, labels: DataFrame, at: Training) -> tuple[list[str], np.ndarray]:
     """Texts and labels to learn from: `max_positive` + `max_negative` rows at most.
 
-    Several labels of a document count as toxic if one is; null labels and ids don't count.
+    Several labels of a document count as toxic if one is; null labels and ids don't
+    count. Rows of one id are one document: the shortest text of it, the first by hash.
     """
     good = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1))
     good = good.where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = [F.xxhash64(F.lit(at.seed), "doc_id"), F.col("doc_id")]
+    texts = id_and_text(docs).withColumn("long", F.length("text"))
+    short = texts.groupBy("doc_id").agg(F.min("long").alias("long")).where(F.col("long") <= at.max_chars).select("doc_id")
+    good = good.join(short, "doc_id")
     ids = good.where("toxic = 1").orderBy(*order).limit(at.max_positive).unionByName(good.where("toxic = 0").orderBy(*order).limit(at.max_negative))
-    # Rows of one id are one document: the first text of it by hash.
-    rows = id_and_text(docs).join(F.broadcast(ids), "doc_id").groupBy("doc_id", "toxic").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    first = F.min_by("text", F.struct("long", F.xxhash64("text")))
+    rows = texts.where(F.col("long") <= at.max_chars).join(F.broadcast(ids), "doc_id").groupBy("doc_id", "toxic").agg(first.alias("text"))
     got = sorted((r["doc_id"], r["toxic"], r["text"]) for r in rows.collect())
     return [t for _, _, t in got], np.array([y for _, y, _ in got], float)
 
@@ -104,7 +124,7 @@ def fit(texts: list[str], y: np.ndarray, at: Training) -> Model:
     """Sentence weights by gradient steps on the noisy-or likelihood, classes weighted to balance."""
     if not len(y) or y.min() == y.max():
         share = float(y.mean()) if len(y) else 0.0
-        return Model({}, float(np.log((share + 1e-3) / (1 - share + 1e-3))))
+        return Model({}, float(np.log((share + 1e-3) / (1 - share + 1e-3))), at.floor)
     seen: dict[str, int] = {}
     toxic: dict[str, int] = {}
     for text, label in zip(texts, y, strict=True):
@@ -145,7 +165,7 @@ def fit(texts: list[str], y: np.ndarray, at: Training) -> Model:
         m1, m2 = 0.9 * m1 + 0.1 * g, 0.999 * m2 + 0.001 * g * g
         step = at.rate * (m1 / (1 - 0.9**t)) / (np.sqrt(m2 / (1 - 0.999**t)) + 1e-6)
         w, b = w - step[:-1] * np.sqrt(1 - t / (at.steps + 1)), b - step[-1] * np.sqrt(1 - t / (at.steps + 1))
-    return Model({x: float(v) for x, v in zip(names, w, strict=True) if abs(v) > 0.05}, float(b))
+    return Model({x: float(v) for x, v in zip(names, w, strict=True) if abs(v) > 0.05}, float(b), at.floor)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
