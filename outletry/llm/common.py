@@ -6,7 +6,7 @@ import atexit
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # The six code points that separate words: space, tab, LF, VT, FF, CR.
@@ -19,11 +19,14 @@ _own: dict[str, str] = {}
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, from ``spark.checkpoint.dir``.
 
-    Where it is unset (tests, a laptop) a temporary folder of this process is
-    used instead; a cluster must set it.
+    Where it is unset a session on this machine alone (tests, a laptop) uses a temporary
+    folder of its process; on a cluster that is an error, since executors
+    couldn't read it.
     """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         found = _own.setdefault("dir", "file://" + tempfile.mkdtemp(prefix="outletry-"))
     return found.rstrip("/")
 
@@ -37,14 +40,22 @@ def _delete(spark: SparkSession, path: str) -> None:
         pass
 
 
-_staged: list[str] = []
+_staged: dict[str, SparkSession] = {}
+
+
+def _clear() -> None:
+    for path, spark in list(_staged.items()):
+        _delete(spark, path)
+    _staged.clear()
+
+
+atexit.register(_clear)
 
 
 def fresh_path(spark: SparkSession, tag: str) -> str:
     """A new path below the shared folder, deleted by :func:`release` or when the driver exits."""
     path = f"{shared_dir(spark)}/outletry/{tag}-{uuid.uuid4().hex}"
-    _staged.append(path)
-    atexit.register(_delete, spark, path)
+    _staged[path] = spark
     return path
 
 
@@ -57,7 +68,7 @@ def release(spark: SparkSession, paths: set[str]) -> None:
     """Delete staged tables; only where all results drawn from them are written."""
     for path in paths & set(_staged):
         _delete(spark, path)
-        _staged.remove(path)
+        del _staged[path]
 
 
 def stage(df: DataFrame, tag: str) -> DataFrame:
@@ -72,9 +83,29 @@ def stage(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def if_small(df: DataFrame, rows: int = 400_000) -> DataFrame:
-    """A staged table of narrow rows, marked for broadcasting if it has so few rows; else as it is, to be shuffled."""
-    return F.broadcast(df) if df.count() <= rows else df
+def if_small(df: DataFrame, rows: int = 400_000, mb: int = 64) -> DataFrame:
+    """A staged table, marked for broadcasting if it has at most so many rows and, by a look at all of
+    them, so many MB of strings and arrays; else as it is, to be shuffled. Results don't depend on it."""
+    wide = [F.length(c) if t in ("string", "binary") else 8 * F.size(c) if t.startswith("array<") else F.lit(8) for c, t in df.dtypes]
+    size = F.sum(sum((F.coalesce(w, F.lit(0)) for w in wide), F.lit(16)).cast("long"))
+    n, held = df.agg(F.count("*"), F.coalesce(size, F.lit(0))).first()
+    return F.broadcast(df) if n <= rows and held <= mb << 20 else df
+
+
+def numbered(rows: DataFrame, order: list[str], tag: str) -> DataFrame:
+    """Staged `rows` with `no`, their places from 0 in the order of columns, without a task that sees them all.
+
+    Tasks hold ranges of the order and count their own rows; the places before each task
+    are summed over a table of one row a task.
+    """
+    spread = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    at = F.monotonically_increasing_id()  # the task above bit 33, the place in it below
+    s = stage(spread.withColumn("no", at), tag)
+    task = F.shiftright("no", 33)
+    own = F.col("no").bitwiseAND(F.lit((1 << 33) - 1))
+    counts = s.groupBy(task.alias("task")).agg(F.count("*").alias("n"))
+    before = counts.select("task", F.coalesce(F.sum("n").over(Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
+    return s.withColumn("task", task).join(F.broadcast(before), "task").withColumn("no", own + F.col("base")).drop("task", "base")
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:

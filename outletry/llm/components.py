@@ -8,6 +8,20 @@ from pyspark.sql import functions as F
 from .common import stage
 
 
+def _with_least(rows: DataFrame, least: DataFrame) -> DataFrame:
+    """`rows` joined to `least` on a; the rows of keys that very many share stay where they are.
+
+    A key is common if it has over a thousandth of all rows: there are a thousand such
+    keys at most, which are broadcast. The other keys are shuffled.
+    """
+    total = least.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    common = least.where(F.col("n") > max(8, total // 1000))
+    rare = least.join(F.broadcast(common.select("a")), "a", "left_anti")
+    few = rows.join(F.broadcast(common), "a")
+    rest = rows.join(F.broadcast(common.select("a")), "a", "left_anti").join(rare, "a")
+    return few.unionByName(rest)
+
+
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(a, b) long pairs to (id, component): each node's smallest reachable id.
 
@@ -15,23 +29,24 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     then that one to the others, alternately over larger and all neighbours, until
     all edges are stars around their component's smallest node. Each round is written
     to the shared folder. A star has one edge a node, so the edges never grow beyond
-    twice their number; the joins carry two numbers a row, and their keys that many
-    rows share (a star's centre) are split by adaptive execution.
+    twice their number; joins carry two numbers a row, and the centres of large stars
+    are broadcast instead of gathering their rows in a task.
     """
     e = edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).where("a <> b")
     e = stage(e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     for _ in range(rounds):
         # Larger neighbours of every node go to the smallest node that it knows.
         both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        up = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        least = stage(both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"), F.count("*").alias("n")), "least")
+        up = _with_least(both.where("b > a"), least).select(F.col("b").alias("a"), F.col("m").alias("b"))
         e = stage(up.where("a <> b").distinct(), "edges")
         # Smaller neighbours, and the node itself, go to the smallest of them.
-        least = e.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
-        down = e.join(least, "a")
+        least = stage(e.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")), "least")
+        down = _with_least(e, least)
         e2 = stage(down.select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", "m")).where("a <> b").distinct(), "edges")
-        if e2.groupBy("a").count().where("count > 1").isEmpty() and e2.join(e2.select(F.col("a").alias("b")), "b", "left_semi").isEmpty():
-            return e2.select(F.col("a").alias("id"), F.col("b").alias("component")).union(e2.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
+        centres = stage(e2.groupBy(F.col("b").alias("a")).agg(F.count("*").alias("n")), "centres")
+        if e2.groupBy("a").count().where("count > 1").isEmpty() and e2.select("a").join(centres, "a", "left_semi").isEmpty():
+            return e2.select(F.col("a").alias("id"), F.col("b").alias("component")).union(centres.select("a", "a"))
         e = e2
     raise RuntimeError(f"components have not settled in {rounds} rounds")
 

@@ -3,10 +3,9 @@
 Each document gives two histograms: character classes, and the common words of
 the languages below against all other words. The references are the mean
 histograms of every language over the whole corpus (documents that pass the base
-rules and the length guards, each with weight one, so neither long documents nor
-large ones steer them). A document is rejected when the Jensen-Shannon distance
-to the nearest reference is over a limit, for a histogram whose length guard it
-meets. Most words are no common ones, in any text, so word histograms are never
+rules and the length guards, each with weight one, so long documents don't steer
+them). A document is rejected when the Jensen-Shannon distance to its language's
+reference is over a limit, for a histogram whose length guard it meets. Most words are no common ones, in any text, so word histograms are never
 far apart: their distance counts in parts of the distance that a text without any
 common word has to the same reference.
 """
@@ -18,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANKS, if_small, stage, word_array
+from .common import BLANKS, if_small, let, stage, word_array
 
 # The commonest function words of four languages.
 COMMON_WORDS = (
@@ -39,10 +38,8 @@ class Limits:
     distance (base 2, 0 to 1) beyond which a document goes. max_word_distance: the same,
     as part of the distance of a text without common words. min_common: share of common
     words that a language's reference needs to judge words by; documents of other
-    languages, or of those without a reference, aren't judged by words. min_chars, min_hist_words: lengths under which a histogram is
-    too thin to judge by, so it isn't used. min_language_docs: every language of so
-    many documents gets a reference, which its own are compared with. max_languages:
-    the largest, whose references all documents are compared with besides.
+    languages aren't judged by words. min_chars, min_hist_words: lengths under which
+    a histogram is too thin to judge by, so it isn't used.
     """
 
     min_words: int = 50
@@ -52,8 +49,6 @@ class Limits:
     min_common: float = 0.05
     min_chars: int = 200
     min_hist_words: int = 100
-    max_languages: int = 64
-    min_language_docs: int = 5
 
 
 def _measured(docs: DataFrame, carry: bool) -> DataFrame:
@@ -72,9 +67,13 @@ def _measured(docs: DataFrame, carry: bool) -> DataFrame:
     hashed = F.transform("w", lambda x, i: F.call_function("shiftleft", F.xxhash64(x, F.get("w", i + 1), F.get("w", i + 2)), F.col("b")).bitwiseOR(i.cast("long")))
     d = d.withColumn("k", F.when(F.col("n") >= 4, F.sort_array(F.slice(hashed, F.lit(1), F.col("n") - 2))))
     top = lambda x: F.call_function("shiftright", x, F.col("b"))
-    twice = F.filter("k", lambda x, i: (top(x) == top(F.get("k", i + 1))) | (top(x) == top(F.get("k", F.when(i > 0, i - 1)))))
-    place = lambda x: x.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("b")) - 1)
-    covered = F.flatten(F.transform(twice, lambda x: F.array(place(x), place(x) + 1, place(x) + 2)))
+    place = lambda x: x.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("b")) - 1).cast("int")
+    alike = F.filter("k", lambda x, i: (top(x) == top(F.get("k", i + 1))) | (top(x) == top(F.get("k", F.when(i > 0, i - 1)))))
+    # Windows of equal hashes are few; they are sorted by their words, so that equal ones are neighbours whatever the hash did.
+    window = lambda x: let(place(x), lambda p: F.struct(F.concat_ws(" ", F.get("w", p), F.get("w", p + 1), F.get("w", p + 2)).alias("g"), p.alias("p")))
+    d = d.withColumn("c", F.array_sort(F.transform(alike, window)))
+    twice = F.filter("c", lambda x, i: (x["g"] == F.get("c", i + 1)["g"]) | (x["g"] == F.get("c", F.when(i > 0, i - 1))["g"]))
+    covered = F.flatten(F.transform(twice, lambda x: F.array(x["p"], x["p"] + 1, x["p"] + 2)))
     common = F.concat(F.lit(" "), F.array_join(F.filter("w", lambda x: x.isin(*WORDS)), "  "), F.lit(" "))
     rest = F.regexp_replace("text", r"[a-z\x20\x09-\x0D]+", "")
     d = d.select(
@@ -109,37 +108,41 @@ def js_distance(p: Column, q: Column) -> Column:
     return F.sqrt(F.greatest(F.aggregate(terms, F.lit(0.0), lambda s, x: s + x), F.lit(0.0)) / 2)
 
 
-def _references(measured: DataFrame, hist: str, size: int, enough: Column, at: Limits) -> DataFrame:
-    """Staged (lang, n, own): the mean histogram of every language with enough documents."""
-    means = F.array(*[F.avg(F.get(hist, F.lit(i))) for i in range(size)])
-    rows = measured.where(enough).groupBy("lang").agg(F.count("*").alias("n"), means.alias("own")).where(F.col("n") >= at.min_language_docs)
+def _references(measured: DataFrame, hist: str, size: int, enough: Column, at: Limits, middle: bool = False) -> DataFrame:
+    """Staged (lang, own): the mean histogram of every language with a document that is long enough.
+
+    middle: of each bin the median instead, scaled to a sum of one.
+    """
+    bins = [F.get(hist, F.lit(i)) for i in range(size)]
+    own = F.array(*[F.percentile_approx(x, 0.5, 100_000) if middle else F.avg(x) for x in bins])
+    rows = measured.where(enough).groupBy("lang").agg(own.alias("own"))
+    if middle:
+        total = F.aggregate("own", F.lit(0.0), lambda a, x: a + x)
+        rows = rows.where(total > 0).withColumn("own", F.transform("own", lambda x: x / total))
     if hist == "word_hist":
         rows = rows.where(F.get("own", F.lit(size - 1)) <= 1 - at.min_common)
     return stage(rows, "quality-references")
 
 
-def _with_distance(measured: DataFrame, hist: str, size: int, refs: DataFrame, at: Limits) -> DataFrame:
-    """`measured` with the distance to the nearest of the largest languages' references and the own language's."""
+def _with_distance(measured: DataFrame, hist: str, size: int, refs: DataFrame) -> DataFrame:
+    """`measured` with the distance to its language's reference; null where there is none."""
     none = F.array(*[F.lit(0.0)] * (size - 1), F.lit(1.0))
-    words = hist == "word_hist"
-    far = lambda r: js_distance(F.col(hist), r) / js_distance(none, r) if words else js_distance(F.col(hist), r)
-    largest = [[float(x) for x in row["own"]] for row in refs.orderBy(F.desc("n"), "lang").limit(at.max_languages).collect()]
-    near = F.array_min(F.transform(F.from_json(F.lit(str(largest)), "array<array<double>>"), far))
-    joined = measured.join(if_small(refs.select("lang", "own"), 10_000), "lang", "left")
-    distance = F.least(near, F.when(F.col("own").isNotNull(), far(F.col("own"))))
-    if words:
-        distance = F.when(F.col("own").isNotNull(), distance)
-    return joined.withColumn(hist.replace("hist", "distance"), distance).drop("own")
+    far = js_distance(F.col(hist), F.col("own"))
+    if hist == "word_hist":
+        far = far / js_distance(none, F.col("own"))
+    joined = measured.join(if_small(refs, 10_000), "lang", "left")
+    return joined.withColumn(hist.replace("hist", "distance"), F.when(F.col("own").isNotNull(), far)).drop("own")
 
 
 def judge(docs: DataFrame, at: Limits = Limits(), carry: bool = False) -> DataFrame:
     """Every document with its counts, distances and verdict.
 
     Null text counts as empty; an empty or short document fails the base rule. A
-    null ``lang`` is a language of its own. Repeated rows are judged alike, each
-    for itself, so ties don't matter; extra columns are ignored. An empty table,
-    or one with no document fit for a reference, has null distances, which reject
-    nothing; so has word_distance where the language's own words can't be judged.
+    null or missing ``lang`` is a language of its own. A language's only document is
+    its own reference. Repeated rows are judged alike, each for itself, so ties
+    don't matter; extra columns are ignored. A language without a document fit for
+    a reference has null distances, which reject nothing; so has word_distance where
+    the language's own words can't be judged. No rows give none.
     """
     m = stage(_measured(docs, carry), "quality")
     failed = (F.col("n_words") < at.min_words) | (100 * F.col("n_repeat_words") > at.max_repeat_percent * F.col("n_words"))
@@ -149,10 +152,13 @@ def judge(docs: DataFrame, at: Limits = Limits(), carry: bool = False) -> DataFr
     limit = {"class_hist": at.max_class_distance, "word_hist": at.max_word_distance}
     for h in guard:
         fit, d = guard[h] & ~F.col("base_failed"), h.replace("hist", "distance")
-        first = _with_distance(m, h, size[h], _references(m, h, size[h], fit, at), at)
-        # Once more without what is far from every first mean, so that junk doesn't pull the references.
-        refs = _references(first, h, size[h], fit & (F.coalesce(d, F.lit(0.0)) <= limit[h]), at)
-        m = _with_distance(m, h, size[h], refs, at).withColumn(d, F.when(guard[h], F.col(d)))
+        # Medians of the few classes bear any junk below half; of most common words a document has none, so medians say nothing there.
+        refs = _references(m, h, size[h], fit, at, middle=h == "class_hist")
+        first = _with_distance(m, h, size[h], refs)
+        # Then means without what is far from the first reference; where all is far, that stays.
+        again = _references(first, h, size[h], fit & (F.coalesce(d, F.lit(0.0)) <= limit[h]), at)
+        refs = stage(refs.join(again.withColumnRenamed("own", "better"), "lang", "left").select("lang", F.coalesce("better", "own").alias("own")), "quality-references")
+        m = _with_distance(m, h, size[h], refs).withColumn(d, F.when(guard[h], F.col(d)))
     far = (F.coalesce("class_distance", F.lit(0.0)) > at.max_class_distance) | (F.coalesce("word_distance", F.lit(0.0)) > at.max_word_distance)
     return m.withColumn("kept", ~F.col("base_failed") & ~far)
 
