@@ -1,6 +1,7 @@
 import base64
 import hashlib
 import json
+import random
 
 import numpy as np
 import plain
@@ -76,6 +77,7 @@ def test_chat(spark):
     at = chat.Format(tools=(chat.Tool("f", {"a": "string", "b": "integer"}, ("a",)),))
     got = {x["conv_id"]: x for x in chat.conversations(d, at).collect()}
     one = got[1]
+    assert one["n_repeats"] == 1
     assert [one[k] for k in ("n_messages", "n_calls", "n_results", "n_linked", "n_unanswered", "n_invalid")] == [5, 3, 2, 1, 2, 2]
     m = json.loads(one["messages"])
     assert [x["content"] for x in m] == ["hi", "x", "res é", "wait", "lost"]  # the result directly behind its call
@@ -85,10 +87,55 @@ def test_chat(spark):
     assert chat.conversations(d.limit(0)).count() == 0
 
 
-def test_a_crowded_turn_is_dealt_into_parts(spark):
-    d = spark.range(500).select(F.lit(1).alias("conv_id"), F.lit(0).alias("turn"), F.lit("user").alias("role"), F.col("id").cast("string").alias("text"))
-    out = chat.conversations(d, chat.Format(chunk=8)).collect()
-    assert len(out) > 1 and sum(x["n_messages"] for x in out) == 500
+def test_a_crowded_turn_is_cut_in_its_order(spark):
+    calls = [{"id": f"c{i}", "name": "f", "arguments": {"n": i}} for i in range(40)]
+    rows = [(1, 0, "assistant", json.dumps({"content": "do", "tool_calls": calls}))] + [(1, 3 + i, "tool", json.dumps({"tool_call_id": f"c{i}", "content": str(i)})) for i in range(40)]
+    rows += [(2, 0, "user", f"{i:03d}") for i in range(500)]
+    d = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
+    out = chat.conversations(d, chat.Format(chunk=8)).orderBy("conv_id", "chunk", "part").collect()
+    assert max(x["n_messages"] for x in out) == 32
+    one = [m for x in out if x["conv_id"] == 1 for m in json.loads(x["messages"])]
+    assert one[0]["content"] == "do" and [m["content"] for m in one[1:]] == [str(i) for i in range(40)] and all(m["linked"] for m in one[1:])
+    assert [m["content"] for x in out if x["conv_id"] == 2 for m in json.loads(x["messages"])] == [f"{i:03d}" for i in range(500)]
+
+
+def test_tools_that_call_tools(spark):
+    call = lambda *ids, **more: json.dumps({"content": "+".join(ids), "tool_calls": [{"id": i, "name": "f", "arguments": {}} for i in ids], **more})
+    rows = [(1, 5, "assistant", call("a")), (1, 6, "user", "u"), (1, 7, "tool", call("b", tool_call_id="a")), (1, 2, "tool", call("c", tool_call_id="b")), (1, 9, "tool", '{"tool_call_id":"c","content":"end"}')]
+    rows += [(2, 1, "tool", call("x", tool_call_id="y")), (2, 2, "tool", call("y", tool_call_id="x")), (2, 3, "tool", '{"tool_call_id":"x","content":"hangs"}')]
+    d = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {x["conv_id"]: x for x in chat.conversations(d).collect()}
+    assert [m["content"] for m in json.loads(got[1]["messages"])] == ["a", "b", "c", "end", "u"] and got[1]["n_linked"] == 3
+    assert [m["content"] for m in json.loads(got[2]["messages"])] == ["x", "y", "hangs"] and got[2]["n_linked"] == 0
+
+
+def test_schemas_are_inferred(spark):
+    made = [{"q": "x", "n": i} if i % 2 else {"q": "y"} for i in range(200)] + [{"q": 3}, {"n": 1}, {"q": "z", "odd": 1}, {"q": "z", "n": 1.5}]
+    rows = [(i, 0, "assistant", json.dumps({"content": "", "tool_calls": [{"id": "a", "name": "f", "arguments": a}, {"id": "b", "name": f"g{i % 3}", "arguments": "[]"}]})) for i, a in enumerate(made)]
+    d = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {x["conv_id"]: [c["valid"] for c in json.loads(x["messages"])[0]["tool_calls"]] for x in chat.conversations(d).collect()}
+    assert got == {i: [i < 200, False] for i in range(204)}
+
+
+def test_conversations_equal_plain_ones(spark):
+    r = random.Random(9)
+    rows = []
+    for i in range(700):
+        conv, turn, ids = r.choice([None, 1, 2, 3]), r.choice([None, *range(60)]), [f"i{r.randrange(30)}" for _ in range(r.randrange(3))]
+        role = r.choice(["user", "assistant", "tool", "tool", None])
+        arguments = lambda: r.choice([{}, {"a": "x"}, {"a": 1}, {"a": "x", "b": 2}, {"b": 2.5, "a": "y"}, '{"a": "t"}', "bad", [1], None])  # noqa: B023, E731
+        body = {"content": f"m{i}", **({"tool_call_id": f"i{r.randrange(30)}"} if r.random() < 0.7 else {}), **({"tool_calls": [{"id": x, "name": r.choice("fgh"), "arguments": arguments()} for x in ids]} if r.random() < 0.3 else {})}
+        rows.append((conv, turn, role, json.dumps(body) if role in ("assistant", "tool") else r.choice(["hi", f"m{i}", None])))
+    rows += rows[:20]
+    tools = (chat.Tool("f", {"a": "string", "b": "number"}, ("a",)), chat.Tool("g", {"a": "integer"}, (), False))
+    d = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(4)
+    out = chat.conversations(d, chat.Format(tools, chunk=8, crowd=3)).collect()
+    got = {}
+    for x in sorted(out, key=lambda x: (x["conv_id"] or 0, x["chunk"], x["part"])):
+        got.setdefault((x["conv_id"], x["chunk"]), []).extend(json.loads(x["messages"]))
+    want, counts = plain.chat(rows, tools, 8)
+    assert got == want
+    assert {k: sum(x[k] for x in out) for k in counts} == counts
 
 
 def test_plain_conversations_are_whole(spark):
