@@ -87,3 +87,38 @@ def large_groups(group: np.ndarray, most: int = 64) -> Iterator[tuple[int, int]]
     for a, b in zip(starts.tolist(), ends.tolist(), strict=True):
         if b - a > most:
             yield a, b
+
+
+def spread(n: int, lab: np.ndarray, a: int, b: int, near) -> np.ndarray:
+    """`lab` after all links among the places a to b, without asking for pairs that are joined already.
+
+    near(i, j) gives the matrix of links between two arrays of places. Rows that are in one
+    part are only compared with those outside of it, so a group that hangs together
+    takes about as many comparisons as it has rows, and never more than all pairs.
+    """
+    todo = np.arange(a, b)
+    while len(todo) > 1:
+        todo = todo[np.argsort(lab[todo], kind="stable")]
+        of, size = np.unique(lab[todo], return_counts=True)
+        todo = todo[np.argsort(-size[np.searchsorted(of, lab[todo])], kind="stable")]
+        one, rest = todo[:64], todo
+        if lab[one[0]] == lab[one[-1]]:
+            same = lab[todo] == lab[one[0]]
+            one, rest = todo[same][:2048], todo[~same]
+        step = max(256, (1 << 18) // len(one))
+        for c in range(0, len(rest), step):
+            i, j = np.nonzero(near(one, rest[c : c + step]))
+            lab = labels(n, one[i], rest[c + j], lab)
+        todo = todo[~np.isin(todo, one)]
+    return lab
+
+
+def shared_groups(rows: DataFrame, group: str, uid: str) -> DataFrame:
+    """(group, n, x, m): the groups of two rows or more; equal n, x, m say that they hold the same uids."""
+    mark = F.xxhash64(F.lit(9), uid)
+    return rows.groupBy(group).agg(F.count("*").alias("n"), F.bit_xor(mark).alias("x"), F.min(uid).alias("m")).where("n > 1")
+
+
+def one_of_each(groups: DataFrame, group: str) -> DataFrame:
+    """(group): of groups that hold the same uids, one."""
+    return groups.groupBy("n", "x", "m").agg(F.min(group).alias(group)).select(group)

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from outletry.llm import vectors
 from outletry.llm.blocks import labels
@@ -30,6 +31,30 @@ def test_equals_brute_force(spark):
         assert (got.kept == (got.vec_id == got.component_id)).all()
 
 
+@pytest.mark.parametrize("n, dim", [(1000, 64), (50_000, 64), (10**8, 64), (10**11, 64), (10**6, 768), (10**11, 768), (100, 3)])
+def test_pairs_share_a_bucket_with_the_recall(n, dim):
+    at = vectors.Hashing()
+    hashes, tables = vectors.plan(n, dim, at)
+    r = np.random.default_rng(n + dim)
+    a, b = r.normal(size=(2, 1500, dim))
+    a /= np.linalg.norm(a, axis=1)[:, None]
+    b -= np.einsum("ij,ij->i", a, b)[:, None] * a
+    b = 0.95 * a + np.sqrt(1 - 0.95**2) * b / np.linalg.norm(b, axis=1)[:, None]
+    x, y = vectors.keys(a, hashes, tables, at), vectors.keys(b, hashes, tables, at)
+    assert np.mean([bool(set(p) & set(q)) for p, q in zip(x.tolist(), y.tolist())]) >= 0.995
+    assert tables <= at.most_tables or hashes == 1
+
+
+def test_several_hashes_find_all_links(spark):
+    v = clusters(3, [1] * 100 + [2] * 40 + [30], 24)
+    v = np.concatenate([v, np.repeat(v[-3:], 40, 0)])  # copies, a class each
+    d = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>").repartition(3)
+    links, comp = brute(v, 0.95)
+    got = vectors.near_duplicates(d, at=vectors.Hashing(bucket=1e-4, chunk=25)).toPandas().sort_values("vec_id")
+    assert vectors.plan(len(v), 24, vectors.Hashing(bucket=1e-4))[0] >= 3
+    assert (got.n_links.to_numpy() <= links).all() and got.n_links.sum() >= 0.99 * links.sum() and (got.component_id.to_numpy() == comp).mean() > 0.98
+
+
 def test_hadamard_is_orthogonal():
     h = vectors.hadamard(np.eye(16))
     assert np.allclose(h @ h.T, 16 * np.eye(16)) and set(np.unique(h)) == {-1.0, 1.0}
