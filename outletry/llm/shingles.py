@@ -1,14 +1,20 @@
 """N-gram Jaccard join by chosen paths (operator 10).
 
-A document is the set of its five-word shingles. In each of several independent
-runs, a random hash of the shingles chooses about `draw` of a set's own; two sets
-that choose the same one go down the same path. Paths that more than `leaf` sets share
-are split again by the next level's choice, so that sets which only share a common
-passage part while similar ones stay together; enough is chosen that a similar pair
-comes through all levels. In the buckets that are left, whatever their size,
-all pairs are compared by fixed-size sketches, with a margin of five standard
-deviations, which links what may be similar. Of each group so linked the whole
-sets are then fetched once and every pair is verified exactly, in blocks.
+A document is the set of its five-word shingles, of which a random sample (the
+smallest by a hash) goes with it. In each of several independent runs, a hash of the
+path so far chooses about `draw` of a set's sampled shingles; two sets that choose the
+same one go down the same path. A bucket of over `leaf` sets is split again by its own
+choice, until buckets are small, so that sets which only share a common passage
+part while similar ones stay together. Splitting makes less work of a bucket as long
+as its sets share less than 1 / draw of their shingles in the mean; one that is denser,
+by a look at some of its sets, stays as it is. In the buckets that are left, whatever
+their size, all sets are compared by fixed-size sketches, with a margin of five
+standard deviations, which links what may be similar. Of each group so linked the
+whole sets are then fetched once and every pair is verified exactly, in blocks.
+
+A pair at similarity s chooses draw * s common shingles in the mean, so its paths are a
+branching process, which lives on at any depth with the chance x of x = 1 - exp(-draw * s * x).
+The runs follow from that chance and the recall wanted.
 
 Equal sets are one class throughout, so copies are never expanded into pairs.
 """
@@ -26,35 +32,44 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import labels, large_groups, near_pairs, split_groups, whole_groups
+from .blocks import labels, large_groups, near_pairs, one_of_each, shared_groups, split_groups, spread, whole_groups
 from .common import if_small, small_batches, stage
 from .components import components
 
 
 @dataclass(frozen=True)
 class Join:
-    """words: of a shingle. least: Jaccard similarity of a link. draw: expected shingles a
-    set chooses in a run and level, so that a pair at `least` stays together with a
-    chance of 1 - exp(-draw * least) at least. levels, leaf: of splitting. runs: so many
-    that all miss a pair with a chance of at most `missed`, below 1e-5 as set, also where
-    every level is needed. margin: the sketch's estimate from which a pair may be similar.
-    chunk, chunk_shingles: rows and shingles of a large group in a task."""
+    """words: of a shingle. least: Jaccard similarity of a link. recall: the chance that a
+    pair at `least` meets in a bucket, however deep; it sets the runs. draw: expected
+    shingles that a set chooses of a path. sample: shingles that go with a set. leaf: sets
+    of a bucket that isn't split. look: sets by which a bucket's density is told. deepest: levels
+    after which buckets are compared as they are. margin: the sketch's estimate from which a
+    pair may be similar. chunk, chunk_shingles: rows and shingles of a large group in a task."""
 
     words: int = 5
     least: float = 0.8
-    draw: float = 3.0
-    runs: int = 7
-    levels: int = 2
+    recall: float = 0.9999
+    draw: float = 2.0
+    sample: int = 64
     leaf: int = 48
+    look: int = 64
+    deepest: int = 40
     margin: float = 0.5
     chunk: int = 1500
     chunk_shingles: int = 2_000_000
     seed: int = 20
 
     @property
-    def missed(self) -> float:
-        """The most that the chance of a pair at `least` can be to part in every run, on any level."""
-        return (1 - (1 - math.exp(-self.draw * self.least)) ** self.levels) ** self.runs
+    def survival(self) -> float:
+        """The chance that a pair at `least` stays together in a run, at any depth."""
+        x = 1.0
+        for _ in range(200):
+            x = 1 - math.exp(-self.draw * self.least * x)
+        return x
+
+    @property
+    def runs(self) -> int:
+        return math.ceil(math.log(1 - self.recall) / math.log(1 - self.survival))
 
 
 BINS = 64  # of a sketch
@@ -102,14 +117,12 @@ def sketch(s: np.ndarray) -> np.ndarray:
     return np.where(low < (1 << 32), (low % np.uint64(65535)), 65535).astype(np.uint16)
 
 
-def choices(s: np.ndarray, at: Join) -> list[list[int]]:
-    """The shingles chosen, for run * levels + level."""
-    if not len(s):
-        return [[]] * (at.runs * at.levels)
-    odd = np.random.default_rng(at.seed).integers(1 << 62, 1 << 64, at.runs * at.levels, np.uint64) | np.uint64(1)
-    limit = np.uint64(min(2.0**64 * at.draw / len(s), 2.0**64 - 2048))
-    folded = s ^ (s >> np.uint64(29))
-    return [s[(folded * m) <= limit].view(np.int64).tolist() for m in odd]
+def sampled(s: np.ndarray, at: Join) -> np.ndarray:
+    """The set's `sample` shingles that are smallest by a hash."""
+    if len(s) <= at.sample:
+        return s
+    h = _mix(s ^ np.uint64(0x9E3779B97F4A7C15 * (2 * at.seed + 1) & 0xFFFFFFFFFFFFFFFF))
+    return s[np.argpartition(h, at.sample)[: at.sample]]
 
 
 def _mark(text) -> "F.Column":
@@ -117,7 +130,7 @@ def _mark(text) -> "F.Column":
 
 
 def describe(docs: DataFrame, at: Join) -> DataFrame:
-    """Staged: uid, doc_id, mark of the text, digest of the set, its size, sketch and choices."""
+    """Staged: uid, doc_id, mark of the text, digest of the set, its size, sketch and sample."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,30 +139,57 @@ def describe(docs: DataFrame, at: Join) -> DataFrame:
             yield pa.RecordBatch.from_pydict({
                 "uid": batch["uid"], "doc_id": batch["doc_id"], "mark": batch["mark"], "digest": pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
                 "size": pa.array([len(s) for s in sets], pa.int64()), "sketch": pa.array([sketch(s).tobytes() for s in sets], pa.binary()),
-                "chosen": pa.array([choices(s, at) for s in sets], pa.list_(pa.list_(pa.int64()))),
+                "sample": pa.array([sampled(s, at).view(np.int64) for s in sets], pa.list_(pa.int64())),
             })
 
     d = docs.select(F.monotonically_increasing_id().alias("uid"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), _mark(F.col("text")).alias("mark"))
-    return stage(d.mapInArrow(run, "uid long, doc_id long, mark long, digest binary, size long, sketch binary, chosen array<array<long>>"), "shingles")
+    return stage(d.mapInArrow(run, "uid long, doc_id long, mark long, digest binary, size long, sketch binary, sample array<long>"), "shingles")
+
+
+def chosen(node, at: Join) -> "F.Column":
+    """The sampled shingles that a path chooses, `draw` in the mean."""
+    share = F.lit(at.draw) / F.size("sample")
+    limit = F.when(share >= 1, F.lit((1 << 63) - 1)).otherwise((share * 2.0**64 - 2.0**63).cast("long"))
+    return F.filter("sample", lambda t: F.xxhash64(node, t) <= limit)
+
+
+def dense(large: DataFrame, paths: DataFrame, classes: DataFrame, at: Join) -> DataFrame:
+    """(node): the large buckets (node, n) whose sets share 1 / draw of their sampled shingles or more in the mean.
+
+    About `look` sets of each are looked at; it decides how the work is done, not its result.
+    """
+    some = paths.join(if_small(large), "node").where(F.pmod(F.xxhash64("node", "uid"), F.col("n")) < at.look)
+    some = stage(some.select("node", "uid").join(classes.select("uid", "sample"), "uid"), "path-looks")
+    held = some.groupBy("node").agg(F.count("*").alias("m"), F.avg(F.size("sample")).alias("k"))
+    token = some.select("node", F.explode("sample").alias("t")).groupBy("node", "t").count()
+    met = token.groupBy("node").agg(F.sum(F.col("count") * (F.col("count") - 1)).alias("met"))
+    return held.join(met, "node").where(F.col("met") * at.draw >= F.col("m") * (F.col("m") - 1) * F.col("k")).select("node")
 
 
 def leaves(classes: DataFrame, at: Join) -> DataFrame:
-    """(node, uid): the buckets at the ends of the paths, of two sets or more."""
-    chosen = lambda level: F.transform(F.sequence(F.lit(0), F.lit(at.runs - 1)), lambda r: F.struct(r.alias("run"), F.get("chosen", r * at.levels + level).alias("tokens")))
-    paths = classes.select("uid", F.inline(chosen(0))).select("uid", "run", F.explode("tokens").alias("token"))
-    paths = paths.select("uid", "run", F.xxhash64("run", "token").alias("node"))
+    """(node, uid): the buckets at the ends of the paths, of two sets or more; one of those that hold the same sets.
+
+    Sets that are too small to be similar to any but equal ones are left out.
+    """
+    classes = classes.where(F.col("size") >= math.floor(at.least / (1 - at.least) + 1e-9))
+    runs = classes.select("uid", "sample", F.explode(F.sequence(F.lit(0), F.lit(at.runs - 1))).alias("run"))
+    first = F.xxhash64(F.lit(at.seed), "run")
+    paths = runs.withColumn("node", first).select("uid", "node", F.explode(chosen(F.col("node"), at)).alias("token"))
     ends = []
-    for level in range(at.levels):
-        paths = stage(paths, "paths")
-        sizes = stage(paths.groupBy("node").count().where("count > 1"), "path-sizes")
-        small = sizes.where(F.col("count") <= at.leaf) if level < at.levels - 1 else sizes
-        ends.append(paths.join(small.select("node"), "node").select("node", "uid"))
-        if level == at.levels - 1:
+    for level in range(at.deepest):
+        paths = stage(paths.select(F.xxhash64("node", "token").alias("node"), "uid"), "paths")
+        nodes = stage(shared_groups(paths, "node", "uid"), "path-sizes")
+        large = stage(nodes.where(F.col("n") > at.leaf).select("node", "n"), "path-large")
+        split = large.limit(0)
+        if level + 1 < at.deepest and not large.isEmpty():
+            split = stage(large.join(if_small(stage(dense(large, paths, classes, at), "path-dense")), "node", "left_anti").select("node"), "path-split")
+        last = split.isEmpty()
+        done = one_of_each(nodes if last else nodes.join(if_small(split), "node", "left_anti"), "node")
+        ends.append(paths.join(if_small(stage(done, "path-done")), "node", "left_semi"))
+        if last:
             break
-        large = sizes.where(F.col("count") > at.leaf).select("node")
-        deeper = paths.join(large, "node").join(classes.select("uid", "chosen"), "uid")
-        tokens = F.get("chosen", F.col("run") * at.levels + level + 1)
-        paths = deeper.select("uid", "run", "node", F.explode(tokens).alias("token")).select("uid", "run", F.xxhash64("node", "token").alias("node"))
+        deeper = paths.join(if_small(split), "node", "left_semi").join(classes.select("uid", "sample"), "uid")
+        paths = deeper.select("uid", "node", F.explode(chosen(F.col("node"), at)).alias("token"))
     out = ends[0]
     for e in ends[1:]:
         out = out.unionByName(e)
@@ -178,10 +218,7 @@ def candidates(buckets: DataFrame, at: Join) -> DataFrame:
                 ok = _maybe(sk[i], sk[j], at.margin)
                 lab = labels(n, i[ok], j[ok], lab)
             for a, b in large_groups(group):
-                for c in range(a, b, 64):
-                    e = min(c + 64, b)
-                    i, j = np.nonzero(_maybe(sk[c:e, None], sk[None, a:b], at.margin))
-                    lab = labels(n, i + c, j + a, lab)
+                lab = spread(n, lab, a, b, lambda i, j: _maybe(sk[i][:, None], sk[None, j], at.margin))
             x = np.flatnonzero(lab != np.arange(n))
             yield pa.RecordBatch.from_pydict({"a": pa.array(uid[x]), "b": pa.array(uid[lab[x]])})
 

@@ -1,7 +1,9 @@
+import os
 import random
 
 import numpy as np
 import plain
+import pytest
 
 from outletry.llm import shingles
 
@@ -37,15 +39,39 @@ def test_equals_brute_force(spark, prose):
         assert got == want
 
 
-def test_similar_pairs_come_through_all_levels():
-    at, r = shingles.Join(), np.random.default_rng(3)
-    assert at.missed < 1e-5
-    lost = 0
-    for _ in range(2000):
-        x = r.integers(0, 1 << 64, 180, np.uint64)
-        a, b = shingles.choices(np.sort(x[:144]), at), shingles.choices(np.sort(x), at)  # at 0.8
-        lost += not any(all(set(a[k + m]) & set(b[k + m]) for m in range(at.levels)) for k in range(0, at.runs * at.levels, at.levels))
-    assert lost == 0
+def test_the_recall_sets_the_runs():
+    at = shingles.Join()
+    x = at.survival
+    assert abs(x - (1 - np.exp(-at.draw * at.least * x))) < 1e-9 and (1 - x) ** at.runs <= 1 - at.recall < (1 - x) ** (at.runs - 1)
+    assert shingles.Join(recall=0.9).runs < at.runs
+
+
+def test_pairs_survive_deep_splitting(spark, prose):
+    # All documents share under half of their shingles, so one bucket is split again and again; pairs are just similar.
+    shared, texts, r = prose(77, 90), {}, random.Random(5)
+    for i in range(240):
+        w = prose(7000 + i // 2, 110, 100_000).split()
+        if i % 2:
+            for k in range(2):
+                w[20 + 50 * k + r.randrange(10)] = f"edit{i}"
+        texts[i] = shared + " " + " ".join(w)
+    want = plain.join(texts)
+    assert all(c == i - i % 2 for i, (c, _) in want.items())
+    d = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    got = {x["doc_id"]: (x["class_id"], x["n_links"]) for x in shingles.join(d, shingles.Join(leaf=4)).collect()}
+    assert got == want
+
+
+def test_recall_of_a_query_set_against_all_rows(spark):
+    path = "/root/testdata/sf0.01/documents.parquet"
+    if not os.path.exists(path):
+        pytest.skip("no test tables")
+    docs = spark.read.parquet(path).select("doc_id", "text")
+    sets = {x["doc_id"]: plain.shingles(x["text"] or "") for x in docs.collect()}
+    near = lambda a, b: bool(a and b) and min(len(a), len(b)) >= 0.8 * max(len(a), len(b)) and len(a & b) / len(a | b) >= 0.8
+    want = {q: sum(near(sets[q], s) for i, s in sets.items() if i != q) for q in sets if q % 50 == 0}
+    got = {x["doc_id"]: x["n_links"] for x in shingles.join(docs).where("doc_id % 50 = 0").collect()}
+    assert all(got[q] <= n for q, n in want.items()) and sum(got.values()) >= 0.999 * sum(want.values())
 
 
 def test_many_large_groups_of_different_near_copies(spark, prose):
