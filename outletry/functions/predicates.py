@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from . import vocab
+from . import phrases, vocab
 from .text import find_phones, keyword_hits, text_of
 
 
@@ -22,32 +22,28 @@ def is_sub_loose(c: Column) -> Column:
 
 
 def is_sub_line(c: Column) -> Column:
-    """A line that names a sub-branch, not the bare marker."""
-    return _low(c).rlike(vocab.SUB_LINE)
+    """A line that names a sub-branch, not the bare marker: three characters without a divider stand before it."""
+    n = _low(c)
+    head = F.concat(F.left(n, F.lit(1)), F.regexp_extract(F.substring(n, 2, 1 << 30), "^[^,;|:]*", 0))
+    return ~n.rlike(r"^(\s|$)") & head.rlike(f"^...*{vocab.SUB_ENDS}")
 
 
 def is_branch(c: Column) -> Column:
     return _low(c).rlike(vocab.BRANCH)
 
 
-def is_booth(c: Column, words: list[str] = vocab.BOOTHS) -> Column:
-    return _low(c).rlike(vocab.bounded(words)) | _low(c).rlike(r"(^|[^a-z0-9])adjacent\s+to\s+(the\s+)?branch($|[^a-z0-9])")
+def is_booth(c: Column, signs: list[str] = vocab.BOOTH_SIGNS) -> Column:
+    return _low(c).rlike(f"(^|[^a-z0-9])({phrases.anywhere(signs)})($|[^a-z0-9])")
 
 
 def is_news(c: Column) -> Column:
     """A headline: what banks do, never what an outlet is called."""
-    w = "[^a-z0-9_]"
-    stems = f"(^|{w})({vocab.any_of(vocab.NEWS_STEMS)})[a-z0-9_]+"
-    phrases = rf"(^|{w})(published\s+(in|on)|remain(s|ing|ed)?\s+open|list\s+of\s+(the\s+)?([a-z]+\s+){{0,2}}branch(es)?)($|{w})"
-    return _low(c).rlike(f"(^|{w})({vocab.any_of(vocab.NEWS_WORDS)})($|{w})") | _low(c).rlike(stems) | _low(c).rlike(phrases)
+    return _low(c).rlike(phrases.worded(vocab.NEWS))
 
 
 def is_generic_name(c: Column) -> Column:
     """A header, label or heading in place of a name."""
-    n = F.rtrim(_low(c), F.lit(" :;,.|-"))
-    after = rf"^branch(es)?\s*({vocab.any_of(vocab.GENERIC_AFTER_BRANCH)})$"
-    forms = r"^(name\s*\(en\)|branches?\s*(&|and)\s*offices?|sub[\s_-]*branch(es)?(\s*name)?|(visit|find|locate)[\s-]*a?[\s-]*branch(es)?|routing\s*no|transaction\s+hours?|swift\s*(code)?|www\.[^\s]+|m/s[\s.,].*|.*branches?\s+are\s+on-?line.*|[·|:;.-]?\s*(branch\s+code|routing\s*(no|number)?)\s*[:-]?[0-9]*.*)$"
-    return n.rlike(vocab.whole(vocab.GENERIC_NAMES)) | n.rlike(after) | n.rlike(forms) | n.rlike(f"^({vocab.any_of(vocab.GENERIC_PREFIXES)})") | n.rlike(vocab.any_of(vocab.GENERIC_PARTS))
+    return F.rtrim(_low(c), F.lit(" :;,.|-")).rlike(phrases.whole(vocab.GENERIC))
 
 
 def is_premises(c: Column) -> Column:
@@ -55,7 +51,7 @@ def is_premises(c: Column) -> Column:
 
 
 def is_promo(c: Column) -> Column:
-    return _low(c).rlike(f"(^|[^a-z0-9_])({vocab.any_of(vocab.PROMO_WORDS)}|branch\\s*list)($|[^a-z0-9_])")
+    return _low(c).rlike(phrases.worded(vocab.PROMOS))
 
 
 def is_generic_address(c: Column) -> Column:
@@ -88,18 +84,23 @@ def is_junk_name(c: Column) -> Column:
 def is_junk_part_name(c: Column) -> Column:
     """The rule for stored parts: roads and floors are forgiven in a name with "branch"."""
     n = F.btrim(text_of(c))
-    hard = _low(c).rlike(r"(^|[^a-z0-9_])(holding|plot|house|shop|ward)\s*(no|nr|[:#])|post(al)?\s*code")
+    hard = _low(c).rlike(phrases.begun(vocab.PLOT_FORMS))
     premises = is_premises(n) & (~is_branch(n) | hard)
     return n.rlike("[,;]$") | is_booth(n) | is_news(n) | is_generic_name(n) | premises | is_promo(n) | is_digits(n) | (n == "")
 
 
+def is_bare(name: Column, address: Column, phone: Column, url: Column, words: list[str] = vocab.ADDRESS_WORDS) -> Column:
+    """No marker in the name, no phone, no link, and nothing like an address."""
+    n, a = F.btrim(text_of(name)), F.btrim(text_of(address))
+    return ~is_branch(n) & ~is_sub(n) & (F.btrim(text_of(phone)) == "") & (F.btrim(text_of(url)) == "") & ~(has_address_word(a, words) | (F.length(a) >= 40))
+
+
 def keeps_record(name: Column, address: Column, phone: Column, url: Column, words: list[str] = vocab.ADDRESS_WORDS) -> Column:
     """Whether a record may be an outlet: no junk name, and some sign of a place."""
     n, a = F.btrim(text_of(name)), F.btrim(text_of(address))
     sliced = n.rlike("[,;]$") & (F.size(find_phones(a)) == 0)
     kiosk = (a != "") & (F.length(a) <= 60) & _low(a).rlike(vocab.bounded(["booth", "kiosk"]))
-    bare = ~is_branch(n) & ~is_sub(n) & (F.btrim(text_of(phone)) == "") & (F.btrim(text_of(url)) == "") & ~(has_address_word(a, words) | (F.length(a) >= 40))
-    return ~(is_junk_name(n) | sliced | kiosk | bare)
+    return ~(is_junk_name(n) | sliced | kiosk | is_bare(name, address, phone, url, words))
 
 
 def looks_blocked(html: Column, text_length: Column) -> Column:

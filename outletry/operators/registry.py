@@ -18,17 +18,26 @@ def bank_index(banks: DataFrame) -> DataFrame:
     return rows.groupBy("key").agg(F.min_by(F.struct("rkey", "bank_id"), F.struct("rank", "rkey")).alias("e")).select("key", "e.*")
 
 
-def _may_match(a: str, b: str, fuzzy: float) -> Column:
-    """One key within the other, or lengths that a ratio of `fuzzy` allows."""
-    la, lb = F.length(a), F.length(b)
-    return F.contains(a, F.col(b)) | F.contains(b, F.col(a)) | (2 * F.least(la, lb) >= fuzzy * (la + lb))
+def _pairs(left: DataFrame, k: str, right: DataFrame, key: str, fuzzy: float) -> DataFrame:
+    """Distinct (k, key): keys of which one holds the other, or whose lengths allow a ratio of `fuzzy`, by an equi-join.
+
+    Such keys share a run of two characters: the one that is held is such a run or has
+    one, and a ratio of 0.8 or more leaves fewer gaps than single characters would
+    need, but for keys of four characters together, which agree or don't match.
+    """
+    runs = lambda c: F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - 1, F.lit(1))), lambda i: F.substring(c, i, F.lit(2)))))
+    a = left.select(F.col(k).alias("k")).where("k <> ''").distinct().withColumn("run", runs(F.col("k")))
+    b = right.select(F.col(key).alias("key")).where("key <> ''").distinct().withColumn("run", runs(F.col("key")))
+    la, lb = F.length("k"), F.length("key")
+    fit = F.contains("k", F.col("key")) | F.contains("key", F.col("k")) | (2 * F.least(la, lb) >= fuzzy * (la + lb))
+    return a.join(b, "run").where(fit).select("k", "key").distinct().withColumn("ratio", sequence_ratio(F.col("k"), F.col("key")))
 
 
 def lookup_banks(names: DataFrame, banks: DataFrame, aliases: list = ALIASES, fuzzy: float = 0.82) -> DataFrame:
     """Names (bank) to (bank, rkey, bank_id, stage): exact, alias, containment, ratio, or null.
 
-    Only what a stage leaves goes to the next. The registry has some dozens of banks, so the
-    last stages compare each name left with them all; it is broadcast if Spark finds it small.
+    Only what a stage leaves goes to the next; the last stages rate each key left with
+    those registry keys that it shares a run of two characters with.
     """
     idx = bank_index(banks)
     n = names.select("bank").distinct().withColumns({"k": norm_key(F.col("bank")), "k2": norm_key(F.col("bank"), False)})
@@ -42,8 +51,8 @@ def lookup_banks(names: DataFrame, banks: DataFrame, aliases: list = ALIASES, fu
     stage = F.when(F.coalesce("r1", "r2").isNotNull(), "exact").when(blocked, "blocked").when(F.col("r3").isNotNull(), "alias")
     done = e3.select("bank", "k", F.coalesce("r1", "r2", F.when(~blocked, F.col("r3"))).alias("rkey"), F.coalesce("b1", "b2", F.when(~blocked, F.col("b3"))).alias("bank_id"), stage.alias("stage"))
     left = done.where("stage is null and k <> ''").select("bank", "k")
-    pairs = left.join(banks.select("rkey", "bank_id", "branch_count"), _may_match("k", "rkey", fuzzy))
-    pairs = pairs.withColumns({"ratio": sequence_ratio(F.col("k"), F.col("rkey")), "inside": (F.length("k") >= 6) & (F.contains("k", F.col("rkey")) | F.contains("rkey", F.col("k")))})
+    pairs = left.join(_pairs(left, "k", banks, "rkey", fuzzy).withColumnRenamed("key", "rkey"), "k").join(banks.select("rkey", "bank_id", "branch_count"), "rkey")
+    pairs = pairs.withColumns({"inside": (F.length("k") >= 6) & (F.contains("k", F.col("rkey")) | F.contains("rkey", F.col("k")))})
     best = pairs.where(F.col("inside") | (F.col("ratio") >= fuzzy)).groupBy("bank").agg(F.max_by(F.struct("rkey", "bank_id", "inside"), F.struct("inside", "ratio", F.coalesce("branch_count", F.lit(0)), "rkey")).alias("m"))
     d = done.join(best, "bank", "left")
     return d.select("bank", F.coalesce("rkey", "m.rkey").alias("rkey"), F.coalesce("bank_id", "m.bank_id").alias("bank_id"), F.coalesce("stage", F.when(F.col("m.inside"), "containment").when(F.col("m").isNotNull(), "ratio")).alias("stage"))
@@ -83,7 +92,7 @@ def resolve_bank_words(lines: DataFrame, index: DataFrame, most: int = 6, fuzzy:
     n = F.sequence(F.lit(1), F.least(F.size("words"), F.lit(most)))
     p = lines.select("line", F.explode(n).alias("n"), "words").withColumn("k", norm_key(F.array_join(F.slice("words", F.lit(1), F.col("n")), " "))).where("k <> ''").drop("words")
     exact = p.join(index.select(F.col("key").alias("k"), "rkey"), "k").select("line", "n", "rkey", F.lit("exact").alias("stage"), F.struct(F.lit(0).alias("s"), F.col("n").alias("o"), F.lit(0.0).alias("r"), F.col("rkey").alias("key")).alias("at"))
-    pairs = p.join(index.select("key", "rkey"), _may_match("k", "key", fuzzy)).withColumn("ratio", sequence_ratio(F.col("k"), F.col("key")))
+    pairs = p.join(_pairs(p, "k", index, "key", fuzzy), "k").join(index.select("key", "rkey"), "key")
     inside = (F.length("k") >= 6) & (F.contains("k", F.col("key")) | F.contains("key", F.col("k")))
     more = pairs.where(inside | (F.col("ratio") >= fuzzy)).select("line", "n", "rkey", F.when(inside, "containment").otherwise("ratio").alias("stage"), F.struct(F.when(inside, 1).otherwise(2).alias("s"), (-F.col("n")).alias("o"), (-F.col("ratio")).alias("r"), F.col("key")).alias("at"))
     return exact.unionByName(more).groupBy("line").agg(F.min_by(F.struct("n", "rkey", "stage"), "at").alias("m")).select("line", "m.*")

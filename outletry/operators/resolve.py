@@ -7,12 +7,14 @@ the first of a group lacks; `ord` decides what comes first.
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from outletry.functions import predicates as P
 from outletry.functions import similarity as S
 from outletry.functions.text import bengali_squash, branch_key, clean_address, clean_ws, drop_media, find_phones, labelled_phone, salvaged_name, squash, text_of
+from outletry.operators.parts import connected
+from outletry.sources.staging import if_few, stage
 
 SCHEMA = "bank string, ord long, name string, address string, url string, phone string, routing string, is_sub boolean"
 
@@ -78,19 +80,61 @@ def name_gate(a: Column, b: Column) -> Column:
     return (S.edit_ratio(a, b) >= 0.8) | prefix
 
 
+def _segments(n: Column, length: Column) -> Column:
+    """(i, begin, size) of the even segments of a text of some length: one more than its allowed edits."""
+    m = F.floor(length / 4).cast("int") + 1
+    cut_ = lambda i: F.floor(i * length / m).cast("int")
+    return F.transform(F.sequence(F.lit(0), m - 1), lambda i: F.struct(i.alias("i"), cut_(i).alias("begin"), (cut_(i + 1) - cut_(i)).alias("size")))
+
+
+def _edit_blocks(n: Column) -> tuple[Column, Column]:
+    """Keys of a text as the shorter of a pair within the gate's edits, and as the longer; any such pair shares one.
+
+    The gate allows a fifth of the longer length in edits, which is a quarter of the shorter
+    one at most. A text cut into one more segments than edits leaves one segment
+    whole, and that stands in the longer text at a place that the edits before and
+    behind it can reach.
+    """
+    size = F.length(n)
+    own = F.transform(_segments(n, size), lambda s: F.concat_ws(":", size, s["i"], F.substring(n, s["begin"] + 1, s["size"])))
+
+    def of(length: Column) -> Column:
+        edits, more = F.floor(length / 4).cast("int"), size - length
+
+        def at(s: Column) -> Column:
+            lo = F.greatest(F.lit(0), s["begin"] - s["i"], s["begin"] + more - (edits - s["i"]))
+            hi = F.least(size - s["size"], s["begin"] + s["i"], s["begin"] + more + (edits - s["i"]))
+            places = F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<int>"))
+            return F.transform(places, lambda p: F.concat_ws(":", length, s["i"], F.substring(n, p + 1, s["size"])))
+
+        return F.flatten(F.transform(_segments(n, length), at))
+
+    lengths = F.sequence(F.greatest(F.ceil(0.8 * size).cast("int"), size - 6, F.lit(1)), size)
+    return own, F.array_distinct(F.flatten(F.transform(lengths, of)))
+
+
 def candidate_edges(records: DataFrame) -> DataFrame:
-    """Pairs (bank, a, b) that may be one outlet: an equi-join on blocks, then the name gate.
+    """(bank, sub, a, b): pairs a < b of different squashed names of a bank that may be one outlet's.
 
-    Blocks: same bank, kind, digits, and either the first or the last two letters or the outlet key.
+    Their kinds and digits agree, and their names pass the gate or have an outlet key in
+    common. Pairs come from equi-joins on blocks that miss none: outlet keys, the beginnings
+    of a name of half its length or more against whole names, and the segments of
+    :func:`_edit_blocks`. Empty names have no edges.
     """
-    n = squash(F.col("name"))
-    r = records.select("bank", "ord", "is_sub", n.alias("n"), branch_key(F.col("name")).alias("bk")).where("n <> ''")
-    r = r.withColumn("digits", F.regexp_replace("n", "[^0-9]", ""))
-    blocks = F.array_distinct(F.array(F.concat(F.lit("p"), F.left("n", F.lit(2))), F.concat(F.lit("s"), F.right(F.regexp_replace("n", "branch$", ""), F.lit(2))), F.concat(F.lit("k"), "bk")))
-    r = r.withColumn("block", F.explode(blocks))
-    l, q = (r.select("bank", "is_sub", "digits", "block", *[F.col(c).alias(f"{c}_{s}") for c in ("ord", "n", "bk")]) for s in "ab")
-    e = l.join(q, ["bank", "is_sub", "digits", "block"]).where("ord_a < ord_b")
-    return e.where(name_gate(F.col("n_a"), F.col("n_b")) | (F.col("bk_a") == F.col("bk_b"))).select("bank", F.col("ord_a").alias("a"), F.col("ord_b").alias("b")).distinct()
+    r = records.select("bank", F.coalesce(F.col("is_sub").cast("string"), F.lit("")).alias("sub"), squash(F.col("name")).alias("n"), branch_key(F.col("name")).alias("bk"))
+    r = stage(r.where("n <> ''").withColumn("digits", F.regexp_replace("n", "[^0-9]", "")).distinct(), "names")
+    on = ["bank", "sub", "digits", "block"]
+    names = r.select("bank", "sub", "digits", "n").distinct()
+    short, long_ = _edit_blocks(F.col("n"))
+    lengths = F.sequence(F.greatest(F.ceil(F.length("n") / 2).cast("int"), F.lit(1)), F.length("n"))
+    begins = F.transform(lengths, lambda i: F.left("n", i))
+    sides = lambda left, right: names.select("bank", "sub", "digits", F.col("n").alias("a"), F.explode(left).alias("block")).join(names.select("bank", "sub", "digits", F.col("n").alias("b"), F.explode(right).alias("block")), on).select("bank", "sub", "a", "b")
+    close = sides(F.array("n"), begins).unionByName(sides(short, long_)).where("a <> b").distinct()
+    close = close.where(name_gate(F.col("a"), F.col("b")))
+    # Names of one key hang on the smallest of them.
+    keyed = r.groupBy("bank", "sub", "digits", "bk").agg(F.min("n").alias("a"), F.count_distinct("n").alias("m")).where("m > 1").drop("m")
+    keyed = r.join(keyed, ["bank", "sub", "digits", "bk"]).where("n <> a").select("bank", "sub", "a", F.col("n").alias("b"))
+    return close.unionByName(keyed).select("bank", "sub", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _agree(a: str, b: str) -> bool:
@@ -133,46 +177,65 @@ def _mostly(a: str, b: str) -> bool:
     return not small or hits / len(small) >= 0.7
 
 
-def near_names(records: DataFrame, least_block: int = 2) -> DataFrame:
+def _fold(rows: list[dict]) -> list[dict]:
+    """Records in order, merged greedily to a fixed point."""
+    digits = lambda x: [c for c in x["n"] if c.isdigit()]
+
+    def one_outlet(a: dict, b: dict) -> bool:
+        if not a["n"] or not b["n"] or a["is_sub"] != b["is_sub"] or digits(a) != digits(b):
+            return False
+        short, long_ = sorted((a["n"], b["n"]), key=len)
+        bare = not a["url"] or not b["url"]
+        base = a["bk"] == b["bk"] and bare and (a["name"].isupper() or b["name"].isupper() or not a["address"].strip() or not b["address"].strip() or _agree(a["address"], b["address"]))
+        near = _edit(a["n"], b["n"]) >= 0.8 or (long_.startswith(short) and len(short) >= 0.5 * len(long_))
+        return base or (near and _agree(a["address"], b["address"]))
+
+    at = 0
+    while at < len(rows):
+        for k in range(at + 1, len(rows)):
+            if one_outlet(rows[at], rows[k]):
+                a, b = rows[at], rows[k]
+                if (b["url"] and not a["url"]) or (bool(a["url"]) == bool(b["url"]) and len(b["address"]) > len(a["address"])):
+                    a, b = b, a
+                if b["named"] and not a["named"]:
+                    a["name"], a["named"], a["n"], a["bk"] = b["name"], True, b["n"], b["bk"]
+                for c in ("phone", "url", "routing"):
+                    a[c] = a[c] or b[c]
+                rows = [x for x in rows if x is not b]
+                at = -1  # a merge may make earlier records agree
+                break
+        at += 1
+    return rows
+
+
+def _fold_group(pdf: pd.DataFrame) -> pd.DataFrame:
+    rows = pdf.sort_values("ord").fillna({c: "" for c in ("name", "address", "url", "phone", "n", "bk")}).to_dict("records")
+    return pd.DataFrame(_fold(rows), columns=list(pdf.columns))[["bank", "ord", "name", "address", "url", "phone", "routing", "is_sub"]]
+
+
+def near_names(records: DataFrame) -> DataFrame:
     """Pass 4: a bank's outlets of nearly the same name merge, greedily, to a fixed point.
 
-    A merge changes what later ones see, so a bank is resolved in one task; it has some
-    thousands of outlets at most. Only blocks with candidate pairs go there.
+    A merge hands on a name with its keys, so what merges is always joined by edges between
+    the names that records came with: each connected part of the complete edges is
+    folded for itself, which gives what a fold of the whole bank gives. Records
+    without an edge or a second record of their name don't leave the JVM. Records of equal
+    order come in any order; null names are empty, and merge with none.
     """
     r = records.select("bank", "ord", "name", "address", "url", "phone", "routing", "is_sub", squash(F.col("name")).alias("n"), branch_key(F.col("name")).alias("bk"), P.is_branch(F.col("name")).alias("named"))
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = pdf.sort_values("ord").fillna({c: "" for c in ("name", "address", "url", "phone", "n", "bk")}).to_dict("records")
-        digits = lambda x: [c for c in x["n"] if c.isdigit()]
-
-        def one_outlet(a: dict, b: dict) -> bool:
-            if not a["n"] or not b["n"] or a["is_sub"] != b["is_sub"] or digits(a) != digits(b):
-                return False
-            short, long_ = sorted((a["n"], b["n"]), key=len)
-            bare = not a["url"] or not b["url"]
-            base = a["bk"] == b["bk"] and bare and (a["name"].isupper() or b["name"].isupper() or not a["address"].strip() or not b["address"].strip() or _agree(a["address"], b["address"]))
-            near = _edit(a["n"], b["n"]) >= 0.8 or (long_.startswith(short) and len(short) >= 0.5 * len(long_))
-            return base or (near and _agree(a["address"], b["address"]))
-
-        at = 0
-        while at < len(rows):
-            for k in range(at + 1, len(rows)):
-                if one_outlet(rows[at], rows[k]):
-                    a, b = rows[at], rows[k]
-                    if (b["url"] and not a["url"]) or (bool(a["url"]) == bool(b["url"]) and len(b["address"]) > len(a["address"])):
-                        a, b = b, a
-                    if b["named"] and not a["named"]:
-                        a["name"], a["named"], a["n"], a["bk"] = b["name"], True, b["n"], b["bk"]
-                    for c in ("phone", "url", "routing"):
-                        a[c] = a[c] or b[c]
-                    rows = [x for x in rows if x is not b]
-                    at = -1  # a merge may make earlier records agree
-                    break
-            at += 1
-        out = pd.DataFrame(rows, columns=list(pdf.columns))
-        return out[["bank", "ord", "name", "address", "url", "phone", "routing", "is_sub"]]
-
-    return r.groupBy("bank").applyInPandas(fold, SCHEMA)
+    r = stage(r, "near-names")
+    node = lambda n: F.concat_ws("|", F.coalesce("bank", F.lit("")), "sub", n)
+    edges = candidate_edges(r).select(node(F.col("a")).alias("a"), node(F.col("b")).alias("b"))
+    parts = connected(edges)
+    sub = F.coalesce(F.col("is_sub").cast("string"), F.lit(""))
+    r = r.withColumn("sub", sub).withColumn("node", node(F.col("n"))).drop("sub").join(if_few(parts), "node", "left").withColumn("part", F.coalesce("part", "node"))
+    r = stage(r.drop("node"), "near-parts")
+    more = stage(r.where("n <> ''").groupBy("part").count().where("count > 1").select("part"), "near-more")
+    fields = SCHEMA.replace(" string", "").replace(" long", "").replace(" boolean", "").split(", ")
+    here = (F.col("n") != "") & F.col("part").isNotNull()
+    folded = r.where(here).join(if_few(more), "part", "left_semi").groupBy("part").applyInPandas(_fold_group, SCHEMA)
+    alone = r.where(here).join(if_few(more), "part", "left_anti").unionByName(r.where(~here))
+    return alone.select(*fields).unionByName(folded)
 
 
 def resolve(records: DataFrame) -> DataFrame:

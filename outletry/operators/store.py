@@ -38,24 +38,31 @@ def current(parts: DataFrame, banks: DataFrame) -> DataFrame:
     return parts.withColumn("slug", slugify(F.col("_bank"))).join(s, "slug", "left_semi").drop("slug")
 
 
-def merged_document(parts: DataFrame) -> DataFrame:
-    """One row: the JSON object of bank to its part. Parts number as the banks do."""
+def merged_document(parts: DataFrame, most: int = 20_000) -> DataFrame:
+    """One row: the JSON object of bank to its part, as an export of at most so many parts; more are an error, for which :func:`write_parts` is the way."""
+    if (n := parts.count()) > most:
+        raise ValueError(f"{n} parts are too many for one document")
     rest = [c for c in parts.columns if c != "_bank"]
-    return parts.agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("_bank", F.struct(*rest)))))).alias("value"))
+    key = F.regexp_extract(F.to_json(F.struct(F.col("_bank").alias("b"))), r'^\{"b":(.*)\}$', 1)
+    p = parts.select("_bank", F.concat(key, F.lit(":"), F.to_json(F.struct(*rest), {"ignoreNullFields": "false"})).alias("part"))
+    all_ = p.agg(F.array_sort(F.collect_list(F.struct("_bank", "part"))).alias("all"))
+    return all_.select(F.concat(F.lit("{"), F.array_join(F.transform("all", lambda x: x["part"]), ","), F.lit("}")).alias("value"))
 
 
 def changed(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """Rows of `new` that differ from the old of their key, null-safe."""
+    """Rows of `new` that differ from the old of their key, null-safe; maps are compared by their JSON."""
     cols = [c for c in new.columns if c != key]
-    o = old.select(F.col(key), F.struct(*cols).alias("__old"))
-    return new.join(o, key, "left").where(~F.struct(*cols).eqNullSafe(F.col("__old"))).drop("__old")
+    flat = lambda d: [F.to_json(c).alias(c) if "map<" in t else F.col(c) for c, t in d.select(*cols).dtypes]
+    o = old.select(F.col(key), F.struct(*flat(old)).alias("__old"))
+    return new.join(o, key, "left").where(~F.struct(*flat(new)).eqNullSafe(F.col("__old"))).drop("__old")
 
 
-def constituents(wanted: DataFrame, parts: DataFrame, records: DataFrame) -> DataFrame:
+def constituents(wanted: DataFrame, parts: DataFrame, records: DataFrame, repeats: bool = False) -> DataFrame:
     """Banks made of others: (bank, constituents) to their records, once each.
 
     A bank comes only if all its constituents have a part that succeeded and has
-    records. Duplicates: same kind, outlet key and first 60 of the address, words only.
+    records. Duplicates: same kind, outlet key and first 60 of the address, words only;
+    with `repeats` they stay, as those of nth > 1.
     """
     w = wanted.select("bank", F.posexplode("constituents").alias("rank", "member"))
     ok = parts.where("status = 'success'").join(records.select(F.col("bank").alias("_bank")).distinct(), "_bank", "left_semi").select(F.col("_bank").alias("member"), F.lit(True).alias("ok"))
@@ -63,7 +70,8 @@ def constituents(wanted: DataFrame, parts: DataFrame, records: DataFrame) -> Dat
     r = w.join(gate, "bank").join(records.withColumnRenamed("bank", "member"), "member")
     words = F.btrim(F.regexp_replace(F.lower(F.left(text_of(F.col("address")), F.lit(60))), r"(?U)\W+", " "))
     by = Window.partitionBy("bank", "is_sub", branch_key(F.col("name")), words).orderBy("rank", "ord")
-    return r.withColumn("nth", F.row_number().over(by)).where("nth = 1").drop("nth", "rank")
+    r = r.withColumn("nth", F.row_number().over(by))
+    return r if repeats else r.where("nth = 1").drop("nth", "rank")
 
 
 def upgrade(records: DataFrame, banks: DataFrame, branches: DataFrame) -> DataFrame:
@@ -71,7 +79,7 @@ def upgrade(records: DataFrame, banks: DataFrame, branches: DataFrame) -> DataFr
 
     banks: bank, rkey. Ids that are stored stay where the registry has none.
     """
-    r = records.where(~P.is_junk_part_name(F.col("name")))
+    r = records.where(~P.is_junk_part_name(F.col("name")) & ~P.is_bare(F.col("name"), F.col("address"), drop_media(F.col("phone")), F.col("page_url")))
     media = F.lower(text_of(F.col("page_url"))).rlike(rf"\.({vocab.any_of(vocab.MEDIA_EXTENSIONS)})($|\?)")
     r = r.withColumns({"page_url": F.when(~media, F.col("page_url")), "phone": F.nullif(drop_media(F.col("phone")), F.lit(""))})
     r = r.join(banks, "bank", "left")
@@ -100,6 +108,12 @@ def audit(parts: DataFrame, records: DataFrame, expected: DataFrame, most_empty:
     return d.select("bank", "status", F.coalesce("branches", F.lit(0)).alias("branches"), F.coalesce("subs", F.lit(0)).alias("subs"), F.coalesce("n_junk", F.lit(0)).alias("n_junk"), "junk", (F.coalesce("empty", F.lit(0.0)) > most_empty).alias("flag_empty"), (F.col("status") != "success").alias("flag_status"), (F.col("branches") - F.col("e.e_branches")).alias("d_branches"), (F.col("subs") - F.col("e.e_subs")).alias("d_subs"))
 
 
+def audit_total(audited: DataFrame) -> DataFrame:
+    """One row over all parts of an audit."""
+    sums = [F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in ("branches", "subs", "n_junk")]
+    return audited.agg(F.count("*").alias("banks"), *sums, F.count_if("flag_status").alias("failed"), F.count_if("flag_empty").alias("without_addresses"))
+
+
 def backup(spark: SparkSession, path: str) -> None:
     """Copy a file or folder to its name with .bak, replacing an older copy."""
     fs, conf = spark.sparkContext._jvm.org.apache.hadoop.fs, spark.sparkContext._jsc.hadoopConfiguration()

@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from outletry.functions import phrases
 from outletry.functions import predicates as P
 from outletry.functions import similarity as S
 from outletry.functions import text as T
@@ -133,8 +134,8 @@ def q_phones(spark, sf_dir):
 
 _FLAGS = {
     "sub": (P.is_sub, f"regexp_matches(n, {_q(V.SUB)})"), "branch": (P.is_branch, f"regexp_matches(n, {_q(V.BRANCH)})"), "premises": (P.is_premises, f"regexp_matches(n, {_q(V.PREMISES)})"),
-    "latin": (P.is_latin, "regexp_matches(n, '[a-z]') or not regexp_matches(n, '[ঀ-৿]')"), "booth": (P.is_booth, f"regexp_matches(n, {_q(V.bounded(V.BOOTHS))}) or regexp_matches(n, '(^|[^a-z0-9])adjacent\\s+to\\s+(the\\s+)?branch($|[^a-z0-9])')"),
-    "promo": (P.is_promo, f"regexp_matches(n, '(^|[^a-z0-9_])({V.any_of(V.PROMO_WORDS)}|branch\\s*list)($|[^a-z0-9_])')"), "feed": (P.is_non_branch_feed, f"regexp_matches(n, {_q(V.bounded(V.NON_BRANCH_FEEDS))})"),
+    "latin": (P.is_latin, "regexp_matches(n, '[a-z]') or not regexp_matches(n, '[ঀ-৿]')"), "booth": (P.is_booth, f"regexp_matches(n, {_q(V.bounded(V.BOOTHS))}) or contains(n, 'adjacent to branch') or contains(n, 'adjacent to the branch')"),
+    "promo": (P.is_promo, f"regexp_matches(n, {_q(phrases.worded(V.PROMOS))})"), "feed": (P.is_non_branch_feed, f"regexp_matches(n, {_q(V.bounded(V.NON_BRANCH_FEEDS))})"),
     "coords": (P.is_coordinates, "regexp_matches(name, '^[0-9.,\\s-]+$')"),
 }
 

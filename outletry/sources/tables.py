@@ -37,10 +37,30 @@ def read_seeds(spark: SparkSession, path: str) -> DataFrame:
     return seeds_from(spark.read.csv(path, header=True, ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True))
 
 
+_RAW = PART.replace("array<map<string,array<string>>>", "array<map<string,string>>")
+
+
+def _entry(e):
+    """A record of a part as map of its name to the five fields: from {name: [fields]}, {name: {fields}} or {"name": ..., fields}."""
+    own = F.element_at(F.map_entries(e), 1)
+    named = e["name"].isNotNull() & (F.size(F.map_keys(e)) > 1)
+    field = lambda m, f: F.coalesce(m[f], m["url"]) if f == "page_url" else F.coalesce(m[f], m["routing"]) if f == "routing_no" else m[f]
+    of = lambda m: F.array(*[field(m, f) for f in FIELDS])
+    listed = F.from_json(own["value"], "array<string>")
+    value = F.when(named, of(e)).when(F.ltrim(own["value"]).startswith("{"), of(F.from_json(own["value"], "map<string,string>"))).otherwise(listed)
+    padded = F.transform(F.sequence(F.lit(0), F.lit(len(FIELDS) - 1)), lambda i: F.get(value, i))
+    return F.create_map(F.when(named, e["name"]).otherwise(own["key"]), F.when(value.isNotNull(), padded))
+
+
 def parts_from_json(texts: DataFrame, column: str = "value") -> DataFrame:
-    """JSON texts to parts by the explicit schema; what doesn't parse goes."""
-    p = texts.select(F.from_json(F.col(column), PART).alias("p")).where(F.col("p._bank").isNotNull())
-    return p.select("p.*")
+    """JSON texts to parts by the explicit schema; what doesn't parse goes.
+
+    Records of older shapes are read as those of today: an object of fields under the
+    name, or one with the name among its fields; missing fields are null.
+    """
+    p = texts.select(F.from_json(F.col(column), _RAW).alias("p")).where(F.col("p._bank").isNotNull()).select("p.*")
+    entries = lambda c: F.transform(F.filter(c, lambda e: F.coalesce(F.size(e), F.lit(0)) > 0), _entry)
+    return p.withColumns({c: entries(c) for c in ("branch", "sub_branch")}).select(*[f.split()[0] for f in PART.split(", ")])
 
 
 def read_parts(spark: SparkSession, path: str) -> DataFrame:
@@ -57,14 +77,16 @@ def records_of(parts: DataFrame) -> DataFrame:
 
 
 def to_parts(records: DataFrame, about: DataFrame) -> DataFrame:
-    """Records and one row a bank (bank, bank_url, method, status, bank_id) to parts; empty strings become null."""
+    """Records and one row a bank (what a part says besides, as far as it is there) to parts; empty strings become null."""
     value = F.array(*[F.nullif(F.col(f), F.lit("")) for f in FIELDS])
     line = F.struct("ord", "name", value.alias("v"))
     lists = records.groupBy("bank").agg(*[F.transform(F.array_sort(F.collect_list(F.when(F.col("is_sub") == s, line))), lambda x: F.create_map(x["name"], x["v"])).alias(n) for n, s in (("branch", False), ("sub_branch", True))])
     d = about.join(lists, "bank", "left")
     none = F.array().cast("array<map<string,array<string>>>")
     d = d.withColumns({n: F.coalesce(n, none) for n in ("branch", "sub_branch")})
-    return d.select(F.col("bank").alias("_bank"), "bank_url", "method", "status", "bank_id", F.size("branch").alias("total_branch"), F.size("sub_branch").alias("total_sub_branch"), "branch", "sub_branch")
+    made = {"_bank": F.col("bank"), "total_branch": F.size("branch"), "total_sub_branch": F.size("sub_branch")}
+    kinds = dict(f.split(" ", 1) for f in PART.split(", "))
+    return d.select(*[made.get(c, F.col(c) if c in d.columns else F.lit(None)).cast(t).alias(c) for c, t in kinds.items()])
 
 
 def registry_from_json(texts: DataFrame, column: str = "value") -> tuple[DataFrame, DataFrame]:

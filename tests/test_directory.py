@@ -1,5 +1,6 @@
 import json
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -126,7 +127,7 @@ def test_no_clobber_and_changed(spark):
 
 
 def test_upgrade(spark):
-    r = spark.createDataFrame([("B", False, 0, "Gulshan Sub Branch", "a", "x.jpg", "1; http://m", "old", None), ("B", True, 1, "Sub Station Road", "a", None, None, "keep", "9"), ("B", True, 2, "Village Office", "a", None, None, None, None), ("B", False, 3, "Branch Name", "a", None, None, None, None)], "bank string, is_sub boolean, ord int, name string, address string, page_url string, phone string, fi_branch_id string, routing_no string")
+    r = spark.createDataFrame([("B", False, 0, "Gulshan Sub Branch", "1 Lake Road", "x.jpg", "1; http://m", "old", None), ("B", True, 1, "Sub Station Road", "1 Lake Road", None, None, "keep", "9"), ("B", True, 2, "Village Office", "1 Lake Road", None, None, None, None), ("B", False, 3, "Branch Name", "1 Lake Road", None, None, None, None)], "bank string, is_sub boolean, ord int, name string, address string, page_url string, phone string, fi_branch_id string, routing_no string")
     b = spark.createDataFrame([("k", "gulshan", "new", "012345678", "x", "")], tables.REGISTRY_BRANCHES)
     new = store.upgrade(r, spark.createDataFrame([("B", "k")], "bank string, rkey string"), b)
     got = {x["name"]: x for x in new.collect()}
@@ -209,3 +210,69 @@ def test_oracles(spark):
             r = con.sql(sql[name])
             at = [r.columns.index(c) for c in cols]
             assert rows == sorted(repr(tuple(tidy(x[i]) for i in at)) for x in r.fetchall()), name
+
+
+def made_names(seed, n, letters="abdegiklmnoprstu"):
+    r = random.Random(seed)
+    base = ["".join(r.choice(letters) for _ in range(r.randrange(3, 22))) for _ in range(n // 4)]
+    out = []
+    for _ in range(n):
+        w = list(r.choice(base))
+        for _ in range(r.randrange(5)):
+            k = r.randrange(len(w))
+            w[k : k + r.randrange(2)] = r.choice(["", r.choice(letters), r.choice(letters) + r.choice(letters)])
+            w = w or ["a"]
+        out.append("".join(w) + r.choice(["", "", " Branch", " 7", " branch 12"]))
+    return out
+
+
+def test_candidate_edges_lose_no_pair(spark):
+    from outletry.functions import text as T
+
+    names = made_names(3, 2000) + ["Khilgaonbazar", "Qhilgaonbazak", "ab", "abcd", "abc", "Agrabad Branch", "Agrabad"]
+    rows = [{"name": x, "is_sub": i % 3 == 0} for i, x in enumerate(names)]
+    got = {(x["sub"], x["a"], x["b"]) for x in resolve.candidate_edges(records(spark, rows)).collect()}
+    keyed = [(str(r["is_sub"]).lower(), *x) for r, x in zip(rows, spark.createDataFrame([(i, x) for i, x in enumerate(names)], "i int, n string").orderBy("i").select(T.squash(F.col("n")), T.branch_key(F.col("n"))).collect())]
+    want, keys = set(), set()
+    for s1, n1, k1 in sorted(set(keyed)):
+        for s2, n2, k2 in keyed:
+            if s1 == s2 and n1 < n2 and "".join(filter(str.isdigit, n1)) == "".join(filter(str.isdigit, n2)):
+                short, long_ = sorted((n1, n2), key=len)
+                if 5 * abs(len(n1) - len(n2)) <= len(long_) and resolve._edit(n1, n2) >= 0.8 or long_.startswith(short) and len(short) >= 0.5 * len(long_):
+                    want.add((s1, n1, n2))
+                if k1 == k2:
+                    keys.add((s1, n1, n2))
+    assert ("true" if rows[2000]["is_sub"] else "false", "khilgaonbazar", "qhilgaonbazak") in got or rows[2000]["is_sub"] != rows[2001]["is_sub"]
+    assert want <= got and got <= want | keys
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for s, a, b in got:
+        parent[root((s, a))] = root((s, b))
+    assert all(root((s, a)) == root((s, b)) for s, a, b in keys)  # names of one key hang together
+
+
+def test_near_names_equal_the_fold_of_whole_banks(spark):
+    r = random.Random(4)
+    roads = ["12 Lake Road", "Sylhet Sadar", "Khulna west", "", "12 Lake Road, Dhaka"]
+    rows = [{"name": x.upper() if r.random() < 0.2 else x, "address": r.choice(roads), "url": r.choice(["", "", "u", "v"]), "phone": r.choice(["", "1"]), "is_sub": r.random() < 0.3} for x in made_names(8, 260, "abel")]
+    d = records(spark, rows)
+    got = sorted(tuple(x[c] for c in ("ord", "name", "address", "url", "phone", "is_sub")) for x in resolve.near_names(d).collect())
+    from outletry.functions import text as T
+
+    named = d.select("*", T.squash(F.col("name")).alias("n"), T.branch_key(F.col("name")).alias("bk"), F.lower("name").contains("branch").alias("named")).orderBy("ord").collect()
+    want = sorted(tuple(x[c] for c in ("ord", "name", "address", "url", "phone", "is_sub")) for x in resolve._fold([{k: "" if v is None else v for k, v in x.asDict().items()} for x in named]))
+    assert got == want and len(got) < 240
+
+
+def test_connected_parts(spark):
+    from outletry.operators.parts import connected
+
+    edges = [(f"n{i:03d}", f"n{i + 1:03d}") for i in range(60)] + [("z1", "z2"), ("z3", "z2"), ("z2", "z2")]
+    got = {x["node"]: x["part"] for x in connected(spark.createDataFrame(edges, "a string, b string")).collect()}
+    assert got == {**{f"n{i:03d}": "n000" for i in range(61)}, "z1": "z1", "z2": "z1", "z3": "z1"}
+    assert connected(spark.createDataFrame([], "a string, b string")).count() == 0
