@@ -103,7 +103,7 @@ def in_scope(url: Column, site: Column, tokens: Column) -> Column:
     dom = domain_of(url)
     near = (dom == domain_of(site)) | F.exists(tokens, lambda t: F.contains(dom, t) | F.contains(F.lower(text_of(url)), t))
     scope = scope_of(site)
-    return text_of(url).rlike("^https?://") & near & ((scope == "") | text_of(url).startswith(scope))
+    return text_of(url).rlike("^https?://") & near & ((scope == "") | (text_of(url) == scope) | text_of(url).startswith(F.concat(scope, F.lit("/"))))
 
 
 def page_number(url: Column, n: Column) -> Column:

@@ -35,10 +35,13 @@ def query(sql: str | None = None):
 
 
 def queries() -> dict[str, Callable]:
+    from outletry.plans import made  # noqa: F401  registers its queries
+
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return dict(_SQL)
 
 
@@ -157,14 +160,6 @@ def q_address_words(spark, sf_dir):
     return _names(spark, sf_dir).select("id", T.keyword_hits(F.col("address")).alias("hits"), P.is_generic_address(F.col("address")).alias("generic"))
 
 
-@query()
-def q_clean_address(spark, sf_dir):
-    return _names(spark, sf_dir).select("id", T.clean_address(F.col("address")).alias("address"), T.labelled_phone(F.col("address")).alias("phone"), T.salvaged_name(F.lit(""), F.concat("name", F.lit(", "), "address")).alias("salvaged"))
-
-
-@query()
-def q_keep_records(spark, sf_dir):
-    return _names(spark, sf_dir).where(P.keeps_record(F.col("name"), F.col("address"), F.lit(""), F.lit(""))).select("id", "name")
 
 
 _SEEN = "length(trim(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<(script|style|noscript)[^>]*>.*?</(script|style|noscript)>|<!--.*?-->', ' ', 'g'), '<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g')))"
@@ -249,11 +244,6 @@ def q_same_name(spark, sf_dir):
     return resolve.same_name(_records(spark, sf_dir)).groupBy("bank").agg(F.count("*").alias("n"), F.sum("ord").alias("ords"))
 
 
-@query()
-def q_candidate_edges(spark, sf_dir):
-    r = _names(spark, sf_dir).selectExpr("nation as bank", "id as ord", "name", "id % 2 = 0 as is_sub").groupBy("bank", "name", "is_sub").agg(F.min("ord").alias("ord"))
-    return resolve.candidate_edges(r)
-
 
 @query()
 def q_near_names(spark, sf_dir):
@@ -290,11 +280,6 @@ def q_text_similarity(spark, sf_dir):
     return l.join(r, "block").where("a < b").select("a", "b", F.round(S.text_similarity(F.col("a"), F.col("b")), 9).alias("similarity"))
 
 
-@query()
-def q_addresses_agree(spark, sf_dir):
-    l, r = _parts(spark, sf_dir)
-    return l.join(r, "block").where("a < b").select("a", "b", S.addresses_agree(F.col("a"), F.col("b")).alias("agree"), S.fuzzy_subset(F.col("a"), F.col("b")).alias("subset"))
-
 
 @query("""select c_nationkey, c_mktsegment, arg_min(c_name, case when c_custkey % 3 <> 0 then c_custkey end) as name, arg_min(cast(c_acctbal as varchar), c_custkey) is not null as has_balance from customer group by all""")
 def q_registry_upsert(spark, sf_dir):
@@ -418,28 +403,8 @@ def q_dom_tags(spark, sf_dir):
     return dom.elements(_t(spark, sf_dir, "pages")).where("tag in ('a', 'li', 'h1', 'article', 'p', 'b')").groupBy("page_id", "tag").agg(F.count("*").alias("n"))
 
 
-@query()
-def q_html_cards(spark, sf_dir):
-    p = _t(spark, sf_dir, "pages")
-    return extract.html_cards(dom.elements(p), p)
-
-
-@query()
-def q_html_tables(spark, sf_dir):
-    p = _t(spark, sf_dir, "pages")
-    return extract.html_tables(dom.elements(p), p)
 
 
-@query()
-def q_script_json(spark, sf_dir):
-    p = _t(spark, sf_dir, "pages")
-    return extract.script_json(dom.elements(p), p)
-
-
-@query()
-def q_label_blocks(spark, sf_dir):
-    c = _t(spark, sf_dir, "conversations").select("conv_id", F.col("turn").alias("line"), F.when(F.col("turn") % 2 == 0, F.concat(F.lit("Branch Name: "), F.left("text", F.lit(20)))).otherwise(F.concat(F.lit("Thana: "), F.left("text", F.lit(30)))).alias("text"), F.lit(False).alias("page_sub"))
-    return extract.label_blocks(c, ["conv_id"])
 
 
 @query("select n_name as bank, n_name || '.com' as website, list_filter(list_transform(string_split('a' || n_nationkey || '; b|a' || n_nationkey, ';'), lambda x: trim(x)), lambda x: x <> '')[1] as first_page, n_regionkey = 1 as registry from nation")

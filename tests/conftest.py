@@ -11,8 +11,9 @@ os.environ.setdefault("OMP_NUM_THREADS", "1")
 
 
 @pytest.fixture(scope="session")
-def spark():
-    s = SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4").config("spark.driver.memory", "4g").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+def spark(tmp_path_factory):
+    shared = tmp_path_factory.mktemp("shared").as_uri()  # in tests, the folder that all executors share
+    s = SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4").config("spark.driver.memory", "4g").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.sql.session.timeZone", "UTC").config("spark.checkpoint.dir", shared).getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
