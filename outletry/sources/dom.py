@@ -1,7 +1,9 @@
 """HTML to rows: one for every element, numbered so that ancestry is a comparison.
 
 Element e is inside a when a.pre < e.pre and e.post <= a.post, so each extractor is
-relational. The parser closes what HTML lets authors leave open (p, li, table cells
+relational. What tables ask for is told by the parser in its one pass: an element's
+innermost row, that row's table, whether a table holds tables, and the first link
+inside. The parser closes what HTML lets authors leave open (p, li, table cells
 and rows, options, definition terms).
 """
 
@@ -12,10 +14,10 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-SCHEMA = "page_id long, pre int, post int, depth int, parent int, tag string, id string, classes array<string>, href string, src string, type string, text string, lines string"
+SCHEMA = "page_id long, pre int, post int, depth int, parent int, tag string, id string, classes array<string>, href string, src string, type string, text string, lines string, row int, table int, is_wrapper boolean, link int"
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _CLOSES = {
     "li": ({"li"}, {"ul", "ol"}), "p": ({"p"}, {"td", "div", "li", "section", "article"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
@@ -80,6 +82,22 @@ class _Tree(HTMLParser):
                     k = self.rows[k]["parent"]
         for k, r in enumerate(self.rows):
             r["text"], r["lines"] = " ".join(texts[k]), "\n".join(texts[k])
+            r["link"], r["is_wrapper"] = None, False
+            up = self.rows[r["parent"]] if r["parent"] >= 0 else {"tag": "", "in_row": None, "in_table": None, "table": None}
+            # Where its children are: innermost row and table.
+            r["row"], r["around"] = up["in_row"], up["in_table"]
+            r["in_row"], r["in_table"] = k if r["tag"] == "tr" else up["in_row"], k if r["tag"] == "table" else up["in_table"]
+            r["table"] = self.rows[r["row"]]["around"] if r["row"] is not None else None
+            p = r["parent"]
+            if r["tag"] == "a":
+                while p >= 0 and self.rows[p]["link"] is None:  # those above an earlier link have theirs
+                    self.rows[p]["link"] = k
+                    p = self.rows[p]["parent"]
+            elif r["tag"] == "table":
+                t = r["around"]
+                while t is not None and not self.rows[t]["is_wrapper"]:
+                    self.rows[t]["is_wrapper"] = True
+                    t = self.rows[t]["around"]
         return self.rows
 
 
@@ -100,7 +118,7 @@ def elements(pages: DataFrame) -> DataFrame:
             for page, html in zip(batch["page_id"], batch["html"], strict=True):
                 for pre, r in enumerate(parse(html)):
                     a = r["attrs"]
-                    rows.append((page, pre, r["post"], r["depth"], r["parent"], r["tag"], a.get("id"), re.split(r"\s+", a["class"].strip()) if a.get("class") else [], a.get("href"), a.get("src"), a.get("type"), r["text"], r["lines"]))
+                    rows.append((page, pre, r["post"], r["depth"], r["parent"], r["tag"], a.get("id"), re.split(r"\s+", a["class"].strip()) if a.get("class") else [], a.get("href"), a.get("src"), a.get("type"), r["text"], r["lines"], r["row"], r["table"], r["is_wrapper"], r["link"]))
             yield pd.DataFrame(rows, columns=names)
 
     return pages.select(F.col("page_id").cast("long").alias("page_id"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html")).mapInPandas(run, SCHEMA)
@@ -117,19 +135,9 @@ def inside(outer: DataFrame, inner: DataFrame, on: str = "page_id") -> DataFrame
 
 
 def cells(dom: DataFrame) -> DataFrame:
-    """Table cells: page_id, table, row, col, text, lines, anchor, href, is_wrapper."""
-    tables = dom.where("tag = 'table'").select("page_id", "pre", "post", "depth")
-    rows = dom.where("tag = 'tr'").select("page_id", "pre", "post", "depth")
-    cs = dom.where("tag in ('td', 'th')").select("page_id", "pre", "post", "depth", "text", "lines")
-    links = dom.where("tag = 'a'").select("page_id", "pre", "post", "text", "href")
-    # Each cell with its innermost row, each row with its innermost table.
-    cell_row = inside(rows, cs).groupBy(F.col("i_page_id").alias("page_id"), F.col("i_pre").alias("cell")).agg(F.max("o_pre").alias("row"), F.first("i_text").alias("text"), F.first("i_lines").alias("lines"), F.first("i_post").alias("cell_post"))
-    row_table = inside(tables, rows).groupBy(F.col("i_page_id").alias("page_id"), F.col("i_pre").alias("row")).agg(F.max("o_pre").alias("table"))
-    wrappers = inside(tables, tables).select(F.col("o_page_id").alias("page_id"), F.col("o_pre").alias("table"), F.lit(True).alias("is_wrapper")).distinct()
-    first = links.select("page_id", F.col("pre").alias("a_pre"), F.col("post").alias("a_post"), F.col("text").alias("anchor"), "href")
-    c = cell_row.join(row_table, ["page_id", "row"]).join(wrappers, ["page_id", "table"], "left")
-    inner = [c["page_id"] == first["page_id"], first["a_pre"] > c["cell"], first["a_post"] <= c["cell_post"]]
-    with_link = c.join(first, inner, "left").groupBy(c["page_id"], "table", "row", "cell").agg(F.first("text").alias("text"), F.first("lines").alias("lines"), F.min_by("anchor", "a_pre").alias("anchor"), F.min_by("href", "a_pre").alias("href"), F.coalesce(F.first("is_wrapper"), F.lit(False)).alias("is_wrapper"))
-    from pyspark.sql import Window
-
-    return with_link.withColumn("col", F.row_number().over(Window.partitionBy("page_id", "table", "row").orderBy("cell")) - 1).drop("cell")
+    """Table cells: page_id, table, row, col, text, lines, anchor, href, is_wrapper (their table holds tables)."""
+    c = dom.where("tag in ('td', 'th') and table is not null").select("page_id", "pre", "row", "table", "text", "lines", "link")
+    wide = dom.where("tag = 'table' and is_wrapper").select("page_id", F.col("pre").alias("table"), "is_wrapper")
+    links = dom.where("tag = 'a'").select("page_id", F.col("pre").alias("link"), F.col("text").alias("anchor"), "href")
+    c = c.join(wide, ["page_id", "table"], "left").join(links, ["page_id", "link"], "left").withColumn("is_wrapper", F.coalesce("is_wrapper", F.lit(False)))
+    return c.withColumn("col", F.row_number().over(Window.partitionBy("page_id", "table", "row").orderBy("pre")) - 1).drop("pre", "link")
