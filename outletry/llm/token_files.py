@@ -65,6 +65,8 @@ class FramedWriter:
         table = b"".join(_ENTRY.pack(*e) for e in self.entries) + _FOOTER.pack(len(self.entries), WITH_CHECKSUM, SEEK_MAGIC)
         self.out.write(struct.pack("<II", SEEK_SKIPPABLE, len(table)) + table)
         self.out.close()
+        if self.fs.get_file_info(self.path).type != pafs.FileType.NotFound:
+            self.fs.delete_file(self.path)  # by an attempt before, whose executor was lost; not all stores rename onto a file
         self.fs.move(self.temporary, self.path)
 
 
@@ -205,5 +207,11 @@ def read_tokens(manifest: DataFrame, with_ids: bool = False) -> DataFrame:
 
 
 def encode_to_files(docs: DataFrame, path: str | None = None, **options) -> DataFrame:
-    """Write all documents (to a new shared folder if no path is given) and read them back."""
+    """Write all documents (to a new shared folder if no path is given) and read them back.
+
+    One row a document: doc_id, start, n_tokens, ids_crc32. Null and empty texts are the
+    end id alone; null ids come first; repeated ids and rows are documents of their own,
+    in the order of their texts' hashes (equal ones in any); no rows give none; extra
+    columns are ignored.
+    """
     return read_tokens(write_tokens(docs, path or fresh_path(docs.sparkSession, "tokens"), **options))

@@ -190,4 +190,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def learn_and_score(docs: DataFrame, labels: DataFrame, at: Training = Training()) -> DataFrame:
+    """Every document scored by a model of the labels that aren't held out, see :func:`sample` and :func:`score`.
+
+    Without labels, or with labels of one kind, all sentences score the share of toxic ones.
+    """
     return score(docs, fit(*sample(docs, labels, at), at))

@@ -3,6 +3,7 @@ import re
 
 import plain
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__
 import corpus_pipeline
@@ -41,6 +42,24 @@ def test_each_stage_against_a_plain_version(spark):
     assert packed.groupby("sequence_id")["length"].sum().max() <= 1024
 
 
+@pytest.mark.parametrize("rows", [10, 0])
+def test_the_pipeline_over_odd_rows(spark, odd_documents, tmp_path, rows):
+    long = " ".join(f"word{i} the of" for i in range(60))
+    more = spark.createDataFrame([(50, long, "en", "a", None), (50, long, "en", "a", None), (51, long.upper(), None, None, 3)], "doc_id long, text string, lang string, source string, n_chars long")
+    docs = odd_documents.limit(rows)
+    extra = [c for c in docs.columns if c not in more.columns]
+    docs = docs.unionByName(more.select("*", *[F.lit(None).cast(docs.schema[c].dataType).alias(c) for c in extra])) if rows else docs
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    out = corpus_pipeline.run(spark, str(tmp_path)).toPandas()
+    if not rows:
+        assert not len(out)
+        return
+    assert set(out.doc_id) <= {50, 51} and 50 in set(out.doc_id)  # the others are too short
+    assert out.groupby("sequence_id")["length"].sum().max() <= 1024
+    once = out[out.doc_id == 50].drop_duplicates(["start", "length"])
+    assert once["length"].sum() == once["doc_tokens"].iloc[0]
+
+
 def test_entry_lists_everything(spark):
     q = __spark_entry__.queries()
     assert {int(k[2:].split("_")[0]) for k in q if re.match(r"op\d+_", k)} == set(range(1, 11)) and "pipeline" in q
