@@ -2,6 +2,11 @@
 
 Each stage's result is written before the next one begins, which then deletes the
 tables that its predecessors staged in the shared folder.
+
+In every stage a null text counts as an empty one, a null id is an id like others, rows
+that repeat are rows of their own where nothing else is said, an empty table gives no
+rows, and columns beyond those of documents are carried along, whatever their names. All
+but the last stage return the columns that they were given.
 """
 
 from __future__ import annotations
@@ -15,27 +20,27 @@ from outletry.llm.common import documents, fresh_path, release, staged
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Quality rules: rejected documents go."""
+    """Quality rules: rejected documents go; empty and short ones fail the base rule, repeated rows fare alike."""
     return quality.keep_good(docs)
 
 
 def shingle_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """N-gram Jaccard join: one document of each group stays."""
+    """N-gram Jaccard join: one document of each group stays, the one of the smallest id; of rows that repeat id and text one, and texts without words all stay."""
     return shingles.keep_one(docs)
 
 
 def privacy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data: every span found is replaced by its kind."""
+    """Personal data: every span found is replaced by its kind; of spans that overlap the first by start names them. A null text stays null."""
     return privacy.redact(docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Source weights: a document comes as often as the mix takes it, in its shards' order."""
+    """Source weights: a document comes as often as the mix takes it, in its shards' order; a null source is a source, and equal rows are taken one by one."""
     return mixing.mixed_documents(docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packing: every piece of every document with its sequence and offset."""
+    """Packing: every piece of every document with its sequence and offset; an empty text is one piece, the end id."""
     return packing.pack(docs)
 
 
