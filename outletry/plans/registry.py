@@ -160,8 +160,6 @@ def q_address_words(spark, sf_dir):
     return _names(spark, sf_dir).select("id", T.keyword_hits(F.col("address")).alias("hits"), P.is_generic_address(F.col("address")).alias("generic"))
 
 
-
-
 _SEEN = "length(trim(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<(script|style|noscript)[^>]*>.*?</(script|style|noscript)>|<!--.*?-->', ' ', 'g'), '<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g')))"
 
 
@@ -192,14 +190,14 @@ def q_map_columns(spark, sf_dir):
     return extract.column_map(h, ["l_orderkey"]).select("l_orderkey", "name", F.size("address").cast("long").alias("addresses"), "phone", "type", "routing")
 
 
-_TURNS = "(select conv_id, turn % 10 as priority, case when role = 'system' then '' else left(text, 20) end as name from conversations)"
+_TURNS = "(select conv_id, turn % 10 as priority, case when role = 'system' then '' else text end as name from conversations)"
 
 
 @query(f"""with r as {_TURNS}, n as (select conv_id, priority, count(case when trim(name) <> '' then 1 end) as named from r group by all),
  w as (select conv_id, min(case when priority < 7 and named >= 1 and priority > 0 then priority end) as winner, min(case when priority >= 7 then priority end) as spare from (select conv_id, priority, case when priority = 0 then 0 else named end as named from n) group by conv_id)
  select r.conv_id, r.priority, count(*) as n from r join w using (conv_id) where case when winner is not null then priority <= winner else priority < 7 or priority = spare end group by all""")
 def q_chain_winner(spark, sf_dir):
-    r = _t(spark, sf_dir, "conversations").selectExpr("conv_id", "turn % 10 as priority", "case when role = 'system' or turn % 10 = 0 then '' else left(text, 20) end as name")
+    r = _t(spark, sf_dir, "conversations").selectExpr("conv_id", "turn % 10 as priority", "case when role = 'system' or turn % 10 = 0 then '' else text end as name")
     return chain.select_extractors(r, "conv_id", 1).groupBy("conv_id", "priority").agg(F.count("*").alias("n"))
 
 
@@ -220,12 +218,14 @@ def q_method_counts(spark, sf_dir):
     return chain.method_counts(_t(spark, sf_dir, "events"), "user_id", "event_type")
 
 
+_MORE = "case when c_custkey % 2 = 0 then '' else 'u' || c_custkey end as url, case when c_custkey % 5 < 3 then '' else 'p' || c_custkey end as phone"
+
+
 def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = _t(spark, sf_dir, "documents")
-    return d.selectExpr("source as bank", "doc_id as ord", "left(text, 16) as name", "case when doc_id % 3 = 0 then '' else substring(text, 17, 44) end as address", "case when doc_id % 2 = 0 then '' else 'u' || doc_id end as url", "case when doc_id % 5 < 3 then '' else 'p' || doc_id end as phone", "cast(null as string) as routing", "doc_id % 2 = 0 as is_sub")
+    return _t(spark, sf_dir, "customer").selectExpr("cast(c_nationkey % 4 as string) as bank", "c_custkey as ord", f"{NAME} as name", f"{ADDRESS} as address", *_MORE.split(", "), "cast(null as string) as routing", "c_custkey % 2 = 0 as is_sub")
 
 
-_RECORDS = "(select source as bank, doc_id as ord, left(text, 16) as name, case when doc_id % 3 = 0 then '' else substring(text, 17, 44) end as address, case when doc_id % 2 = 0 then '' else 'u' || doc_id end as url, case when doc_id % 5 < 3 then '' else 'p' || doc_id end as phone, doc_id % 2 = 0 as is_sub from documents)"
+_RECORDS = f"(select cast(c_nationkey % 4 as varchar) as bank, c_custkey as ord, {NAME} as name, {ADDRESS} as address, {_MORE} from customer)"
 
 
 @query(f"""select bank, min(ord) as ord, arg_min(name, ord) as name, arg_min(address, case when address <> '' then ord end) as address, arg_min(url, case when url <> '' then ord end) as url, arg_min(phone, case when phone <> '' then ord end) as phone
@@ -244,7 +244,6 @@ def q_same_name(spark, sf_dir):
     return resolve.same_name(_records(spark, sf_dir)).groupBy("bank").agg(F.count("*").alias("n"), F.sum("ord").alias("ords"))
 
 
-
 @query()
 def q_near_names(spark, sf_dir):
     r = _names(spark, sf_dir).selectExpr("cast(nation as string) as bank", "id as ord", "name", "address", "'' as url", "'' as phone", "cast(null as string) as routing", "false as is_sub")
@@ -280,7 +279,6 @@ def q_text_similarity(spark, sf_dir):
     return l.join(r, "block").where("a < b").select("a", "b", F.round(S.text_similarity(F.col("a"), F.col("b")), 9).alias("similarity"))
 
 
-
 @query("""select c_nationkey, c_mktsegment, arg_min(c_name, case when c_custkey % 3 <> 0 then c_custkey end) as name, arg_min(cast(c_acctbal as varchar), c_custkey) is not null as has_balance from customer group by all""")
 def q_registry_upsert(spark, sf_dir):
     c = _t(spark, sf_dir, "customer").withColumns({"name": F.when(F.col("c_custkey") % 3 != 0, F.col("c_name")).otherwise(""), "bal": F.col("c_acctbal").cast("string")})
@@ -294,13 +292,15 @@ def _registry(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return banks, branches
 
 
-@query()
+@query("""select distinct bank, case when k = 2 then null else lower(replace(n_name, '_', ' ')) end as rkey, case when k = 2 then null else cast(n_nationkey as varchar) end as bank_id, case when k < 2 then 'exact' when k = 3 then 'ratio' end as stage
+ from (select c_custkey % 4 as k, c_nationkey, case c_custkey % 4 when 0 then 'Alt ' || c_nationkey || ' Bank Ltd' when 1 then 'NATION ' || c_nationkey || ' Bank PLC' when 2 then 'EXIM Bank' else 'Natoin ' || c_nationkey end as bank from customer) join nation on n_nationkey = c_nationkey""")
 def q_bank_lookup(spark, sf_dir):
     names = _t(spark, sf_dir, "customer").selectExpr("case when c_custkey % 4 = 0 then 'Alt ' || (c_nationkey) || ' Bank Ltd' when c_custkey % 4 = 1 then 'NATION ' || c_nationkey || ' Bank PLC' when c_custkey % 4 = 2 then 'EXIM Bank' else 'Natoin ' || c_nationkey end as bank")
     return registry.lookup_banks(names, _registry(spark, sf_dir)[0])
 
 
-@query()
+@query("""select lower(replace(n_name, '_', ' ')) as rkey, case when s_suppkey % 3 = 0 then 'Supplir ' || s_suppkey || ' Branch' else 'Supplier ' || s_suppkey || ' Sub-Branch' end as name, 'supplier ' || case when s_suppkey > 0 then cast(s_suppkey as varchar) else '' end as bkey, cast(s_suppkey as varchar) as fi_branch_id,
+ lpad(cast(s_suppkey as varchar), 9, '0') as routing, case when s_suppkey % 3 = 0 then 'ratio' else 'exact' end as stage from supplier join nation on n_nationkey = s_nationkey""")
 def q_branch_lookup(spark, sf_dir):
     banks, branches = _registry(spark, sf_dir)
     r = _t(spark, sf_dir, "supplier").join(_t(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).selectExpr("lower(replace(n_name, '_', ' ')) as rkey", "case when s_suppkey % 3 = 0 then 'Supplir ' || s_suppkey || ' Branch' else 'Supplier ' || s_suppkey || ' Sub-Branch' end as name")
@@ -398,13 +398,9 @@ def q_line_blocks(spark, sf_dir):
     return b.select("doc_id", "block", F.size("lines").cast("long").alias("n"), F.aggregate("lines", F.lit(0), lambda a, x: a + F.length(x)).cast("long").alias("chars"))
 
 
-@query("select page_id, t as tag, len(regexp_extract_all(regexp_replace(html, '(?s)<!--.*?-->|<script[^>]*>.*?</script>', '', 'g'), '<' || t || '[ >]')) as n from pages, (select unnest(['a', 'li', 'h1', 'article', 'p', 'b']) as t) where len(regexp_extract_all(regexp_replace(html, '(?s)<!--.*?-->|<script[^>]*>.*?</script>', '', 'g'), '<' || t || '[ >]')) > 0")
+@query("select page_id, tag, count(*) as n from (select page_id, unnest(regexp_extract_all(regexp_replace(html, '(?s)<!--.*?-->|(<script[^>]*>).*?</script>', '\\1', 'g'), '<([a-z][a-z0-9]*)', 1)) as tag from pages) group by all")
 def q_dom_tags(spark, sf_dir):
-    return dom.elements(_t(spark, sf_dir, "pages")).where("tag in ('a', 'li', 'h1', 'article', 'p', 'b')").groupBy("page_id", "tag").agg(F.count("*").alias("n"))
-
-
-
-
+    return dom.elements(_t(spark, sf_dir, "pages")).groupBy("page_id", "tag").agg(F.count("*").alias("n"))
 
 
 @query("select n_name as bank, n_name || '.com' as website, list_filter(list_transform(string_split('a' || n_nationkey || '; b|a' || n_nationkey, ';'), lambda x: trim(x)), lambda x: x <> '')[1] as first_page, n_regionkey = 1 as registry from nation")
@@ -428,7 +424,9 @@ def q_seeds_first(spark, sf_dir):
     return fetch.seeds_first(p.where("page_id % 2 = 0").selectExpr("page_id % 10 as bank", "'u' || (page_id % 40) as url", "page_id as ord"), p.selectExpr("page_id % 10 as bank", "'u' || (page_id % 60) as url", "page_id as ord")).withColumn("ord", F.col("ord").cast("long"))
 
 
-@query()
+@query(f"""with p as (select page_id % 10 as key, page_id, url, regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)), '^www\\.', '') as domain from pages),
+ s as (select *, least((cast(contains(l, 'tion') as int) + cast(contains(l, 'blog') as int) + cast(contains(l, 'th') as int)) / 3 + case when ends_with(domain, '.bd') then 0.1 else 0 end, 1) as score from (select *, replace(split_part(domain, '.', 1), '-', '') as l from p where not regexp_matches(domain, {_q(V.any_of(V.AGGREGATORS))})))
+ select key as bank, arg_max(url, (score, -page_id)) as url, max(score) as score from s where score >= 0.3 group by key""")
 def q_official_site(spark, sf_dir):
     p = _t(spark, sf_dir, "pages").select((F.col("page_id") % 10).alias("bank"), "url", F.col("page_id").alias("rank"))
     tokens = p.select("bank").distinct().withColumn("tokens", F.array(F.lit("tion"), F.lit("blog"), F.lit("th")))
