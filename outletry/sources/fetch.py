@@ -28,8 +28,8 @@ class _Chunk(InputPartition):
 
 
 class _Reader(DataSourceReader):
-    def __init__(self, urls: list[str], get: Callable, tries: int, size: int, pause: float):
-        self.urls, self.get, self.tries, self.size, self.pause = urls, get, tries, size, pause
+    def __init__(self, urls: list[str], get: Callable, tries: int, size: int, pause: float, back_off: float):
+        self.urls, self.get, self.tries, self.size, self.pause, self.back_off = urls, get, tries, size, pause, back_off
 
     def partitions(self) -> list[_Chunk]:
         return [_Chunk(self.urls[i : i + self.size]) for i in range(0, len(self.urls), self.size)] or [_Chunk([])]
@@ -46,13 +46,15 @@ class _Reader(DataSourceReader):
                 if status and status < 500 and status != 429 or k == self.tries - 1:
                     yield url, status, kind, body
                     break
+                time.sleep(self.back_off * (k + 1))
 
 
-def read_pages(spark: SparkSession, urls: list[str], get: Callable[[str], tuple[int, str, str]], tries: int = 2, chunk: int = 50, pause: float = 0.0) -> DataFrame:
+def read_pages(spark: SparkSession, urls: list[str], get: Callable[[str], tuple[int, str, str]], tries: int = 2, chunk: int = 50, pause: float = 0.0, back_off: float = 1.5) -> DataFrame:
     """Fetch URLs in parallel by a transport: a function of a URL to (status, content type, body).
 
     The transport is shipped to the workers; errors, 429 and 5xx are tried again. pause:
-    seconds before each request, more or less.
+    seconds before each request, more or less; back_off: seconds after a failure, times
+    the failures so far.
     """
 
     class PageSource(DataSource):  # local, so that it takes the transport along
@@ -64,7 +66,7 @@ def read_pages(spark: SparkSession, urls: list[str], get: Callable[[str], tuple[
             return SCHEMA
 
         def reader(self, schema) -> _Reader:
-            return _Reader(urls, get, tries, chunk, pause)
+            return _Reader(urls, get, tries, chunk, pause, back_off)
 
     spark.dataSource.register(PageSource)
     return spark.read.format("outlet_pages").load()

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from outletry.functions import url as U
 from outletry.operators import build, chain, registry
 from outletry.plans import discovery
-from outletry.sources import tables
+from outletry.sources import fetch, tables
 from outletry.streaming import upserts
 
 
@@ -63,3 +63,10 @@ def test_a_batch_rewrites_only_its_buckets(spark, tmp_path):
     assert len(got) == 41 and (got["b3"], got["b4"], got["new"]) == ("1", "2", "2")
     upserts.merge_results(spark, part([("b4", "success", "2")]), store)  # once more changes nothing
     assert {r["_bank"]: r["method"] for r in upserts.read_store(spark, store).collect()} == got
+
+
+def test_failing_requests_are_reported(spark):
+    def get(url):
+        raise OSError("no network")
+
+    assert [tuple(r) for r in fetch.read_pages(spark, ["u"], get, tries=3, back_off=0.0).collect()] == [("u", 0, "", "")]
