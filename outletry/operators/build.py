@@ -104,7 +104,10 @@ def run_summary(parts: DataFrame, skipped: int = 0) -> DataFrame:
 
 def upgrade_summary(old: DataFrame, new: DataFrame) -> DataFrame:
     """One row: what a repair changed. old, new: stored records."""
-    n = new.select("bank", "name", F.col("is_sub").alias("now"), "fi_branch_id", "routing_no", F.col("ord")).withColumnRenamed("ord", "o")
-    d = old.join(n, (old["bank"] == n["bank"]) & (old["name"] == n["name"]) & (old["ord"] == n["o"]), "left")
-    unmarked = old["is_sub"] & F.col("now") & ~P.is_sub(old["name"])
-    return d.agg(F.count_distinct(old["bank"]).alias("parts"), F.count_if(unmarked).alias("unmarked_subs"), F.count_if(F.col("now").isNull()).alias("dropped"), F.count_if(old["is_sub"] & ~F.col("now")).alias("to_branch"), F.count_if(~old["is_sub"] & F.col("now")).alias("to_sub"), F.count_if(n["fi_branch_id"].isNotNull()).alias("with_ids"), F.count_if(n["routing_no"].isNotNull()).alias("with_routing"))
+    n = new.select("bank", "name", "ord", F.col("is_sub").alias("now"), F.col("fi_branch_id").alias("id_now"), F.col("routing_no").alias("routing_now"))
+    d = old.select("bank", "name", "ord", F.col("is_sub").alias("was")).join(n, ["bank", "name", "ord"], "left")
+    count = lambda c, name: F.count_if(c).alias(name)
+    return d.agg(
+        F.count_distinct("bank").alias("parts"), count(F.col("now").isNull(), "dropped"), count(F.col("was") & ~F.col("now"), "to_branch"), count(~F.col("was") & F.col("now"), "to_sub"),
+        count(F.col("was") & F.col("now") & ~P.is_sub(F.col("name")), "unmarked_subs"), count(F.col("id_now").isNotNull(), "with_ids"), count(F.col("routing_now").isNotNull(), "with_routing"),
+    )
