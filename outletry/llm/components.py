@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .blocks import labels
 from .common import stage
 
 
@@ -22,10 +27,25 @@ def _with_least(rows: DataFrame, least: DataFrame) -> DataFrame:
     return few.unionByName(rest)
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def _in_one_task(edges: DataFrame) -> DataFrame:
+    """(id, component) of few enough edges, by one task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = [(b["a"].to_numpy(), b["b"].to_numpy()) for b in batches if b.num_rows]
+        if got:
+            a, b = (np.concatenate(x) for x in zip(*got, strict=True))
+            ids, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+            lab = labels(len(ids), at[: len(a)], at[len(a) :])
+            yield pa.RecordBatch.from_pydict({"id": pa.array(ids), "component": pa.array(ids[lab])})
+
+    return edges.coalesce(1).mapInArrow(run, "id long, component long")
+
+
+def components(edges: DataFrame, rounds: int = 60, small: int = 1_000_000) -> DataFrame:
     """(a, b) long pairs to (id, component): each node's smallest reachable id.
 
-    Every round links each node to the smallest of its neighbours (and itself), and
+    Up to `small` edges (some 16 MB) are joined in one task. More go round by round: every
+    round links each node to the smallest of its neighbours (and itself), and
     then that one to the others, alternately over larger and all neighbours, until
     all edges are stars around their component's smallest node. Each round is written
     to the shared folder. A star has one edge a node, so the edges never grow beyond
@@ -34,6 +54,8 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """
     e = edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).where("a <> b")
     e = stage(e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    if e.count() <= small:
+        return _in_one_task(e)
     for _ in range(rounds):
         # Larger neighbours of every node go to the smallest node that it knows.
         both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))

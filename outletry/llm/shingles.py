@@ -3,14 +3,14 @@
 A document is the set of its five-word shingles, of which a random sample (the
 smallest by a hash) goes with it. In each of several independent runs, a hash of the
 path so far chooses about `draw` of a set's sampled shingles; two sets that choose the
-same one go down the same path. A bucket of over `leaf` sets is split again by its own
-choice, until buckets are small, so that sets which only share a common passage
-part while similar ones stay together. Splitting makes less work of a bucket as long
-as its sets share less than 1 / draw of their shingles in the mean; one that is denser,
-by a look at some of its sets, stays as it is. In the buckets that are left, whatever
-their size, all sets are compared by fixed-size sketches, with a margin of five
-standard deviations, which links what may be similar. Of each group so linked the
-whole sets are then fetched once and every pair is verified exactly, in blocks.
+same one go down the same path. A large bucket is split again by its own choice, so that
+sets which only share a common passage part while similar ones stay together.
+Splitting multiplies a bucket's pairs by draw times the share of shingles that its sets
+have in common in the mean; it goes on while it saves more pairs than handing the
+sets on costs. In the buckets that are left, whatever their size, all sets are
+compared by fixed-size sketches, with a margin of five standard deviations, which links
+what may be similar. Of each group so linked the whole sets are then fetched once and
+every pair is verified exactly, in blocks.
 
 A pair at similarity s chooses draw * s common shingles in the mean, so its paths are a
 branching process, which lives on at any depth with the chance x of x = 1 - exp(-draw * s * x).
@@ -41,9 +41,9 @@ from .components import components
 class Join:
     """words: of a shingle. least: Jaccard similarity of a link. recall: the chance that a
     pair at `least` meets in a bucket, however deep; it sets the runs. draw: expected
-    shingles that a set chooses of a path. sample: shingles that go with a set. leaf: sets
-    of a bucket that isn't split. look: sets by which a bucket's density is told. deepest: levels
-    after which buckets are compared as they are. margin: the sketch's estimate from which a
+    shingles that a set chooses of a path. sample: shingles that go with a set. leaf: a
+    bucket is split if that saves each set so many comparisons. look: sets by which a bucket's
+    density is told. deepest: levels after which buckets are compared as they are. margin: the sketch's estimate from which a
     pair may be similar. chunk, chunk_shingles: rows and shingles of a large group in a task."""
 
     words: int = 5
@@ -51,7 +51,7 @@ class Join:
     recall: float = 0.9999
     draw: float = 2.0
     sample: int = 64
-    leaf: int = 48
+    leaf: int = 512
     look: int = 64
     deepest: int = 40
     margin: float = 0.5
@@ -153,54 +153,65 @@ def chosen(node, at: Join) -> "F.Column":
     return F.filter("sample", lambda t: F.xxhash64(node, t) <= limit)
 
 
-def dense(large: DataFrame, paths: DataFrame, classes: DataFrame, at: Join) -> DataFrame:
-    """(node): the large buckets (node, n) whose sets share 1 / draw of their sampled shingles or more in the mean.
+def splits(large: DataFrame, paths: DataFrame, pool: DataFrame, at: Join) -> DataFrame:
+    """(node): those of the large buckets (node, n) that are worth splitting.
 
-    About `look` sets of each are looked at; it decides how the work is done, not its result.
+    The share of sampled shingles that two sets have in common is told by about `look` sets of
+    each. It decides how the work is done, not its result.
     """
-    some = paths.join(if_small(large), "node").where(F.pmod(F.xxhash64("node", "uid"), F.col("n")) < at.look)
-    some = stage(some.select("node", "uid").join(classes.select("uid", "sample"), "uid"), "path-looks")
-    held = some.groupBy("node").agg(F.count("*").alias("m"), F.avg(F.size("sample")).alias("k"))
-    token = some.select("node", F.explode("sample").alias("t")).groupBy("node", "t").count()
-    met = token.groupBy("node").agg(F.sum(F.col("count") * (F.col("count") - 1)).alias("met"))
-    return held.join(met, "node").where(F.col("met") * at.draw >= F.col("m") * (F.col("m") - 1) * F.col("k")).select("node")
+    some = paths.join(large, "node").where(F.pmod(F.xxhash64("node", "uid"), F.col("n")) < at.look)
+    some = some.select("node", "n", "uid").join(pool, "uid")
+    # Each set's shingles, and a null that counts the sets.
+    token = some.select("node", "n", F.explode(F.concat("sample", F.array(F.lit(None).cast("long")))).alias("t")).groupBy("node", "n", "t").count()
+    sets, shared = F.max(F.when(F.col("t").isNull(), F.col("count"))), lambda x: F.sum(F.when(F.col("t").isNotNull(), x))
+    told = token.groupBy("node", "n").agg(sets.alias("m"), shared(F.col("count")).alias("all"), shared(F.col("count") * (F.col("count") - 1)).alias("met"))
+    left = F.col("met") * at.draw / (F.greatest(F.col("m") - 1, F.lit(1)) * F.col("all"))  # of the pairs, after a split
+    return told.where(F.col("n") * (1 - left) > at.leaf).select("node")
 
 
 def leaves(classes: DataFrame, at: Join) -> DataFrame:
-    """(node, uid): the buckets at the ends of the paths, of two sets or more; one of those that hold the same sets.
+    """(node, uid), staged: the buckets at the ends of the paths, of two sets or more; one of those that hold the same sets.
 
     Sets that are too small to be similar to any but equal ones are left out.
     """
     classes = classes.where(F.col("size") >= math.floor(at.least / (1 - at.least) + 1e-9))
-    runs = classes.select("uid", "sample", F.explode(F.sequence(F.lit(0), F.lit(at.runs - 1))).alias("run"))
+    pool = classes.select("uid", "sample")
+    runs = pool.select("uid", "sample", F.explode(F.sequence(F.lit(0), F.lit(at.runs - 1))).alias("run"))
     first = F.xxhash64(F.lit(at.seed), "run")
     paths = runs.withColumn("node", first).select("uid", "node", F.explode(chosen(F.col("node"), at)).alias("token"))
+    few = lambda df, n: F.broadcast(df) if n <= 400_000 else df  # noqa: E731  narrow rows, counted
     ends = []
     for level in range(at.deepest):
         paths = stage(paths.select(F.xxhash64("node", "token").alias("node"), "uid"), "paths")
         nodes = stage(shared_groups(paths, "node", "uid"), "path-sizes")
-        large = stage(nodes.where(F.col("n") > at.leaf).select("node", "n"), "path-large")
-        split = large.limit(0)
-        if level + 1 < at.deepest and not large.isEmpty():
-            split = stage(large.join(if_small(stage(dense(large, paths, classes, at), "path-dense")), "node", "left_anti").select("node"), "path-split")
-        last = split.isEmpty()
-        done = one_of_each(nodes if last else nodes.join(if_small(split), "node", "left_anti"), "node")
-        ends.append(paths.join(if_small(stage(done, "path-done")), "node", "left_semi"))
-        if last:
+        n_nodes, n_large = nodes.agg(F.count("*"), F.count_if(F.col("n") > at.leaf)).first()
+        split, n_split = None, 0
+        if n_large and level + 1 < at.deepest:
+            split = stage(splits(few(nodes.where(F.col("n") > at.leaf).select("node", "n"), n_large), paths, pool, at), "path-split")
+            n_split = split.count()
+        done = one_of_each(nodes.join(few(split, n_split), "node", "left_anti") if n_split else nodes, "node")
+        ends.append(paths.join(few(done, n_nodes), "node", "left_semi"))
+        if not n_split:
             break
-        deeper = paths.join(if_small(split), "node", "left_semi").join(classes.select("uid", "sample"), "uid")
-        paths = deeper.select("uid", "node", F.explode(chosen(F.col("node"), at)).alias("token"))
+        deeper = paths.join(few(split, n_split), "node", "left_semi")
+        if level % 3 == 0:  # the sets that are still on their way
+            deeper = stage(deeper, "path-deeper")
+            pool = stage(pool.join(if_small(stage(deeper.select("uid").distinct(), "path-uids")), "uid", "left_semi"), "path-pool")
+        paths = deeper.join(pool, "uid").select("uid", "node", F.explode(chosen(F.col("node"), at)).alias("token"))
     out = ends[0]
     for e in ends[1:]:
         out = out.unionByName(e)
-    return out
+    return stage(out, "path-ends")
 
 
 def _maybe(a: np.ndarray, b: np.ndarray, margin: float) -> np.ndarray:
-    """Whether sketches (rows of a and b) may be of similar sets."""
-    used = ~((a == 65535) & (b == 65535))
-    same = (a == b) & used
-    return same.sum(-1) >= margin * used.sum(-1)
+    """Whether sketches (rows of a and b) may be of similar sets; bins that are empty in both don't count."""
+    same = np.count_nonzero(a == b, axis=-1)
+    none_a, none_b = a == 65535, b == 65535
+    if not none_a.any() or not none_b.any():
+        return same >= margin * BINS
+    empty = np.count_nonzero(none_a & none_b, axis=-1)
+    return same - empty >= margin * (BINS - empty)
 
 
 def candidates(buckets: DataFrame, at: Join) -> DataFrame:

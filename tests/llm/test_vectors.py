@@ -3,6 +3,7 @@ import pytest
 
 from outletry.llm import vectors
 from outletry.llm.blocks import labels
+from outletry.llm.components import components
 
 
 def brute(v: np.ndarray, least: float):
@@ -60,6 +61,19 @@ def test_hadamard_is_orthogonal():
     assert np.allclose(h @ h.T, 16 * np.eye(16)) and set(np.unique(h)) == {-1.0, 1.0}
 
 
+@pytest.mark.parametrize("small", [1_000_000, 0])
+def test_components(spark, small):
+    r = np.random.default_rng(2)
+    pairs = [(i, i + 1) for i in range(1000, 1040)] + [(5000, k) for k in range(6000, 6400)] + [(7, 7)] + [tuple(map(int, x)) for x in r.integers(0, 300, (200, 2))]
+    d = spark.createDataFrame(pairs, "a long, b long").repartition(3)
+    got = {x["id"]: x["component"] for x in components(d, small=small).collect()}
+    ids = sorted({x for p in pairs if p[0] != p[1] for x in p})
+    at = {x: k for k, x in enumerate(ids)}
+    lab = labels(len(ids), *np.array([(at[a], at[b]) for a, b in pairs if a != b]).T)
+    assert got == {x: ids[lab[k]] for x, k in at.items()}
+    assert components(d.limit(0), small=small).count() == 0
+
+
 def test_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, None), (4, []), (5, [0.0, 0.0]), (6, [nan, 1.0]), (7, [inf, 1.0]), (8, [None, 1.0]), (9, [1.0]), (None, [1.0, 0.01]), (1, [1.0, 0.0])]
