@@ -64,3 +64,19 @@ def test_entry_lists_everything(spark):
     q = __spark_entry__.queries()
     assert {int(k[2:].split("_")[0]) for k in q if re.match(r"op\d+_", k)} == set(range(1, 11)) and "pipeline" in q
     assert set(__spark_entry__.oracle_sql()) <= set(q)
+
+
+def test_sql_twins(spark):
+    import duckdb
+
+    from outletry.llm import queries
+
+    con = duckdb.connect()
+    for t in ("documents", "embeddings", "pages"):
+        con.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
+    for name, sql in queries.oracle_sql().items():
+        df = queries.queries()[name](spark, SF)
+        cols = sorted(df.columns)
+        r = con.sql(sql)
+        at = [r.columns.index(c) for c in cols]
+        assert sorted(repr(tuple(x[c] for c in cols)) for x in df.collect()) == sorted(repr(tuple(x[i] for i in at)) for x in r.fetchall()), name
