@@ -128,12 +128,12 @@ def candidate_edges(records: DataFrame) -> DataFrame:
     short, long_ = _edit_blocks(F.col("n"))
     lengths = F.sequence(F.greatest(F.ceil(F.length("n") / 2).cast("int"), F.lit(1)), F.length("n"))
     begins = F.transform(lengths, lambda i: F.left("n", i))
-    sides = lambda left, right: names.select("bank", "sub", "digits", F.col("n").alias("a"), F.explode(left).alias("block")).join(names.select("bank", "sub", "digits", F.col("n").alias("b"), F.explode(right).alias("block")), on).select("bank", "sub", "a", "b")
+    sides = lambda left, right: names.select("bank", "sub", "digits", F.col("n").alias("a"), F.explode(left).alias("block")).join(names.select("bank", "sub", "digits", F.col("n").alias("b"), F.explode(right).alias("block")).hint("merge"), on).select("bank", "sub", "a", "b")
     close = sides(F.array("n"), begins).unionByName(sides(short, long_)).where("a <> b").distinct()
     close = close.where(name_gate(F.col("a"), F.col("b")))
     # Names of one key hang on the smallest of them.
     keyed = r.groupBy("bank", "sub", "digits", "bk").agg(F.min("n").alias("a"), F.count_distinct("n").alias("m")).where("m > 1").drop("m")
-    keyed = r.join(keyed, ["bank", "sub", "digits", "bk"]).where("n <> a").select("bank", "sub", "a", F.col("n").alias("b"))
+    keyed = r.join(keyed.hint("merge"), ["bank", "sub", "digits", "bk"]).where("n <> a").select("bank", "sub", "a", F.col("n").alias("b"))
     return close.unionByName(keyed).select("bank", "sub", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -239,5 +239,6 @@ def near_names(records: DataFrame) -> DataFrame:
 
 
 def resolve(records: DataFrame) -> DataFrame:
-    """All passes."""
-    return near_names(same_name(clean_addresses(drop_translations(exact_duplicates(cleaned(records))))))
+    """All passes; what the first two leave, which is read twice, is staged."""
+    first = stage(exact_duplicates(cleaned(records)), "no-duplicates")
+    return near_names(same_name(clean_addresses(drop_translations(first))))

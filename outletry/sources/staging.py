@@ -45,6 +45,10 @@ def stage(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def if_few(df: DataFrame, rows: int = 200_000) -> DataFrame:
-    """A staged table of narrow rows, marked for broadcasting if it has so few; else as it is."""
-    return F.broadcast(df) if df.count() <= rows else df
+def if_few(df: DataFrame, rows: int = 200_000, n: int | None = None) -> DataFrame:
+    """A staged table of narrow rows, marked for broadcasting if it has so few (n, where known); else for a join that sorts.
+
+    Left to itself Spark broadcasts what its files are small enough for, and names take many
+    times their files' size in the driver.
+    """
+    return F.broadcast(df) if (df.count() if n is None else n) <= rows else df.hint("merge")

@@ -256,6 +256,20 @@ def test_candidate_edges_lose_no_pair(spark):
     assert all(root((s, a)) == root((s, b)) for s, a, b in keys)  # names of one key hang together
 
 
+def test_candidate_edges_broadcast_no_blocks(spark):
+    from outletry.operators.parts import connected
+    from outletry.sources.staging import if_few
+
+    d = records(spark, [{"name": x} for x in made_names(5, 60)])
+    # An explode has its input's size for Spark, so the blocks of some ten thousand names were broadcast.
+    plan = resolve.candidate_edges(d)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate explode" in plan and "Broadcast" not in plan
+    many = if_few(spark.range(9).withColumnRenamed("id", "a"), rows=5)
+    plan = spark.range(20).toDF("a").join(many, "a")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert connected(spark.createDataFrame([("x", "y")], "a string, b string")).count() == 2
+
+
 def test_near_names_equal_the_fold_of_whole_banks(spark):
     r = random.Random(4)
     roads = ["12 Lake Road", "Sylhet Sadar", "Khulna west", "", "12 Lake Road, Dhaka"]
