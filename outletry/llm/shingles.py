@@ -161,10 +161,16 @@ def splits(large: DataFrame, paths: DataFrame, pool: DataFrame, at: Join) -> Dat
     """
     some = paths.join(large, "node").where(F.pmod(F.xxhash64("node", "uid"), F.col("n")) < at.look)
     some = some.select("node", "n", "uid").join(pool, "uid")
-    # Each set's shingles, and a null that counts the sets.
-    token = some.select("node", "n", F.explode(F.concat("sample", F.array(F.lit(None).cast("long")))).alias("t")).groupBy("node", "n", "t").count()
-    sets, shared = F.max(F.when(F.col("t").isNull(), F.col("count"))), lambda x: F.sum(F.when(F.col("t").isNotNull(), x))
-    told = token.groupBy("node", "n").agg(sets.alias("m"), shared(F.col("count")).alias("all"), shared(F.col("count") * (F.col("count") - 1)).alias("met"))
+    # The shingles of a bucket's sets side by side, some thousand: a bucket is one row, whatever its size.
+    told = some.groupBy("node", "n").agg(F.count("*").alias("m"), F.sort_array(F.flatten(F.collect_list("sample"))).alias("all"))
+    # Equal shingles stand together; one with k before it meets k others, in two orders.
+    none = F.struct(F.lit(None).cast("long").alias("t"), F.lit(0).cast("long").alias("k"), F.lit(0).cast("long").alias("met"))
+
+    def count(s, t):
+        k = F.when(s["t"] == t, s["k"] + 1).otherwise(F.lit(0).cast("long"))
+        return F.struct(t.alias("t"), k.alias("k"), (s["met"] + 2 * k).alias("met"))
+
+    told = told.select("node", "n", "m", F.size("all").alias("all"), F.aggregate("all", none, count)["met"].alias("met"))
     left = F.col("met") * at.draw / (F.greatest(F.col("m") - 1, F.lit(1)) * F.col("all"))  # of the pairs, after a split
     return told.where(F.col("n") * (1 - left) > at.leaf).select("node")
 

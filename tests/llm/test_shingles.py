@@ -62,6 +62,25 @@ def test_pairs_survive_deep_splitting(spark, prose):
     assert got == want
 
 
+def test_what_a_split_saves_is_told_by_a_row_a_bucket(spark):
+    r = random.Random(5)
+    share = {1: 0, 2: 3, 3: 6, 4: 8}  # shingles that all sets of a bucket have in common, of 12
+    pool = {100 * b + i: [1000 * b + t for t in range(share[b])] + r.sample(range(10**6, 10**6 + 400), 12 - share[b]) for b in share for i in range(30)}
+    at = shingles.Join(leaf=12, look=1000)
+    sets = spark.createDataFrame(list(pool.items()), "uid long, sample array<long>")
+    paths = spark.createDataFrame([(u // 100, u) for u in pool], "node long, uid long")
+    large = spark.createDataFrame([(b, 30) for b in share], "node long, n long")
+    want = set()
+    for b in share:
+        mine = [set(s) for u, s in pool.items() if u // 100 == b]
+        met = sum(len(x & y) for i, x in enumerate(mine) for j, y in enumerate(mine) if i != j)
+        if 30 * (1 - at.draw * met / (29 * 12 * 30)) > at.leaf:
+            want.add(b)
+    d = shingles.splits(large, paths, sets, at)
+    assert {x["node"] for x in d.collect()} == want and 0 < len(want) < 4
+    assert "Generate" not in d._jdf.queryExecution().executedPlan().toString()  # once a row for each shingle of each set
+
+
 def test_recall_of_a_query_set_against_all_rows(spark):
     path = "/root/testdata/sf0.01/documents.parquet"
     if not os.path.exists(path):
